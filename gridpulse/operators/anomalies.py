@@ -28,28 +28,31 @@ def rolling_flag_name(metric: str) -> str:
 # -- trailing deviation ----------------------------------------------------------
 
 
-def rolling_flags(
-    columns: list[str],
+def add_rolling_flags(
+    df: DataFrame,
     w: WindowSpec,
     window: int = ROLLING_WINDOW,
     num_std: float = ROLLING_STDS,
     metrics: Seq[str] = METRICS,
-) -> dict[str, Column]:
-    """`<metric>_rolling_flag`: value outside trailing mean ± num_std deviations.
+) -> DataFrame:
+    """Add `<metric>_rolling_flag`: value outside trailing mean ± num_std deviations.
 
     A window of equal values has deviation exactly 0 and never flags; without
     that guard the last bit of its mean would decide.
     """
+    columns = present(df, metrics)
     frame = w.rowsBetween(-(window - 1), 0)
+    # Named first, so that each window function is evaluated once.
+    stats = {f"_mean_{c}": F.avg(c).over(frame) for c in columns}
+    stats |= {f"_std_{c}": F.stddev_samp(c).over(frame) for c in columns}
 
     def flag(c: str) -> Column:
-        x = F.col(c)
-        mean = F.avg(x).over(frame)
-        std = F.stddev_samp(x).over(frame)
+        x, mean, std = F.col(c), F.col(f"_mean_{c}"), F.col(f"_std_{c}")
         outside = (x > mean + num_std * std) | (x < mean - num_std * std)
         return F.coalesce((std > 0) & outside, F.lit(False))
 
-    return {rolling_flag_name(c): flag(c) for c in metrics if c in columns}
+    flagged = df.withColumns(stats).withColumns({rolling_flag_name(c): flag(c) for c in columns})
+    return flagged.drop(*stats)
 
 
 def detect_rolling(
@@ -58,7 +61,7 @@ def detect_rolling(
     num_std: float = ROLLING_STDS,
     metrics: Seq[str] = METRICS,
 ) -> Sequence:
-    return seq.trailing(window - 1, rolling_flags(seq.rows.columns, seq.forward, window, num_std, metrics))
+    return seq.trailing(window - 1, lambda df, w: add_rolling_flags(df, w, window, num_std, metrics))
 
 
 # -- whole-series statistics -----------------------------------------------------

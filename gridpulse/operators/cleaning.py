@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence as Seq
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gridpulse.functions.rounding import half_even
@@ -16,11 +16,12 @@ FILL_LIMIT = 3  # rows a value is carried forward before interpolation starts
 
 def forward_fill(seq: Sequence, limit: int = FILL_LIMIT, metrics: Seq[str] = METRICS) -> Sequence:
     """Each null takes the last valid value at most `limit` rows back."""
-    frame = seq.forward.rowsBetween(-limit, 0)
-    return seq.trailing(
-        limit,
-        {c: F.last(c, ignorenulls=True).over(frame) for c in present(seq.rows, metrics)},
-    )
+
+    def fill(df: DataFrame, w: WindowSpec) -> DataFrame:
+        frame = w.rowsBetween(-limit, 0)
+        return df.withColumns({c: F.last(c, ignorenulls=True).over(frame) for c in present(df, metrics)})
+
+    return seq.trailing(limit, fill)
 
 
 def fill_gaps(seq: Sequence, metrics: Seq[str] = METRICS, limit: int = FILL_LIMIT) -> Sequence:

@@ -78,9 +78,9 @@ def coerce_timestamp(df: DataFrame) -> DataFrame:
     return df
 
 
-def blocked_features(df: DataFrame, w: WindowSpec) -> dict[str, Column]:
+def add_features(df: DataFrame, w: WindowSpec) -> DataFrame:
     """All features of a frame whose trailing windows are given by `w`."""
-    return (
+    return df.withColumns(
         ratio_features(df.columns)
         | rolling_features(df.columns, w)
         | difference_features(df.columns, w)
@@ -90,5 +90,4 @@ def blocked_features(df: DataFrame, w: WindowSpec) -> dict[str, Column]:
 
 def engineer_features(seq: Sequence) -> Sequence:
     """Add every derived feature to cleaned metrics; all windows share one sort."""
-    seq = seq.with_rows(coerce_timestamp(seq.rows))
-    return seq.trailing(HALO, blocked_features(seq.rows, seq.forward))
+    return seq.with_rows(coerce_timestamp(seq.rows)).trailing(HALO, add_features)

@@ -18,7 +18,7 @@ series is instead cut by *position*:
 
 from __future__ import annotations
 
-from collections.abc import Sequence as Seq
+from collections.abc import Callable, Sequence as Seq
 from dataclasses import dataclass, replace
 from itertools import accumulate
 
@@ -109,9 +109,10 @@ class Sequence:
         """Drop the halo copies again."""
         return blocked.where(F.col(BLOCK) == self._own_block()).drop(BLOCK)
 
-    def trailing(self, halo: int, columns: dict[str, Column]) -> "Sequence":
-        """Add window columns whose frames reach back at most `halo` rows."""
-        return self.with_rows(self.own(self.blocked(halo).withColumns(columns)))
+    def trailing(self, halo: int, add: Callable[[DataFrame, WindowSpec], DataFrame]) -> "Sequence":
+        """Apply `add(blocked rows, forward window)`, whose row frames must reach
+        back at most `halo` rows."""
+        return self.with_rows(self.own(add(self.blocked(halo), self.forward)))
 
     # -- values carried over any distance ----------------------------------------
 
@@ -269,4 +270,4 @@ def _null_safe_join(left: DataFrame, right: DataFrame, on: Seq[str]) -> DataFram
 
 def _block_length(df: DataFrame, length: int) -> int:
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(MAX_BLOCK, max(MIN_BLOCK, length // (4 * partitions) + 1))
+    return min(MAX_BLOCK, max(MIN_BLOCK, length // (16 * partitions) + 1))

@@ -40,9 +40,8 @@ def prepare(raw: Sequence) -> Sequence:
     edges = raw.edges(metrics, halo)
     filled = cleaning.filled_blocks(raw, metrics, cleaning.FILL_LIMIT, halo, edges)
     cleaned = cleaning.normalize(cleaning.clip(filled), cleaning.cleaned_ranges(edges))
-    derived = features.blocked_features(cleaned, raw.forward)
-    flags = anomalies.rolling_flags(cleaned.columns, raw.forward)
-    return raw.with_rows(raw.own(cleaned.withColumns(derived | flags)))
+    derived = features.add_features(cleaned, raw.forward)
+    return raw.with_rows(raw.own(anomalies.add_rolling_flags(derived, raw.forward)))
 
 
 def analyse(
