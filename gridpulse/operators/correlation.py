@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.functions.ranks import LOCAL_VALUES, average_ranks
-from gridpulse.functions.rounding import denoise, half_even, stable
+from gridpulse.functions.rounding import half_even, stable
 from gridpulse.functions.significance import correlation_p_value
 from gridpulse.operators.sequence import Sequence
-from gridpulse.schema import METRICS, ROW, WORKLOAD, present
+from gridpulse.schema import METRICS, WORKLOAD, present
 
 
 @dataclass(frozen=True)
@@ -70,6 +70,13 @@ def pearson(df: DataFrame, by: Seq[str] = (), pairs: Seq[Pair] = PAIRS) -> DataF
     return _per_pair(df, by, usable, "pearson")
 
 
+def guarded_pearson(df: DataFrame, by: Seq[str] = (), pairs: Seq[Pair] = PAIRS) -> DataFrame:
+    """Rounded Pearson r per pair; 0 where fewer than ten rows have both values."""
+    return pearson(df, by, pairs).select(
+        *by, PAIR, "n", _guarded(stable(F.col("pearson"), 3), 0.0).alias("pearson_r")
+    )
+
+
 def rank_table(seq: Sequence, pairs: Seq[Pair] = PAIRS, local_values: int = LOCAL_VALUES) -> DataFrame:
     """Ranks of every pair's variables, overall and inside the workload.
 

@@ -122,7 +122,7 @@ class Sequence:
 
         Half 2b is block b without its last `halo` rows, half 2b+1 those rows.
         """
-        half = 2 * self._own_block() + self._is_tail(max(halo, 1)).cast("long")
+        half = 2 * self._own_block() + self._is_tail(halo).cast("long")
         at = {c: F.when(F.col(c).isNotNull(), F.col(ROW)) for c in columns}
         return store(
             self.rows.groupBy(*self.keys, half.alias("_half")).agg(
@@ -143,11 +143,12 @@ class Sequence:
         Adds `<column>_at`, the position a non-null value comes from.  Carry rows
         have `_carry` set and sort first and last in their block.
         """
+        halo = max(halo, 1)  # edges need a tail to hang on
         edges = self.edges(columns, halo) if edges is None else edges
         data = self.blocked(halo).withColumns(
             {CARRY: F.lit(False)} | {f"{c}_at": F.when(F.col(c).isNotNull(), F.col(ROW)) for c in columns}
         )
-        return data.unionByName(self._carry_rows(edges, columns, max(halo, 1)), allowMissingColumns=True)
+        return data.unionByName(self._carry_rows(edges, columns, halo), allowMissingColumns=True)
 
     def _carry_rows(self, edges: DataFrame, columns: Seq[str], halo: int) -> DataFrame:
         # What lies before half 2b+1 is what block b+1 (with its halo) cannot see,

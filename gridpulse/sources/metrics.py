@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from gridpulse.schema import METRICS, RAW_METRICS, present
 
+# Microseconds are written and may be absent when read.
+_CSV_TIME = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+CSV_OPTIONS = {"header": "true", "timestampFormat": _CSV_TIME, "timestampNTZFormat": _CSV_TIME}
+
 
 def ingest(df: DataFrame) -> DataFrame:
     """A missing reading is NULL, however the source wrote it."""
@@ -14,7 +18,7 @@ def ingest(df: DataFrame) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema=RAW_METRICS) -> DataFrame:
-    return ingest(spark.read.schema(schema).csv(path, header=True))
+    return ingest(spark.read.schema(schema).options(**CSV_OPTIONS).csv(path))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

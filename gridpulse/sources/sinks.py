@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from gridpulse.operators.anomalies import confirmed
 from gridpulse.schema import ANOMALIES, BOTTLENECKS, CLEANED_METRICS, RAW_METRICS, SYSTEM_METRICS, TS, conform
+from gridpulse.sources.metrics import CSV_OPTIONS
 
 
 def write_csv(df: DataFrame, path: str) -> str:
     """A folder of CSV parts with headers."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 
