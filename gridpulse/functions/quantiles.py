@@ -7,9 +7,10 @@ from collections.abc import Sequence as Seq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many rows the built-in exact percentile keeps its value counts in one
-# task's memory; above it the bracketed form is used.
-DIRECT_ROWS = 2_000_000
+# The built-in exact percentile keeps one count per distinct value in memory.  Up to
+# about this many distinct values that is fine however many rows there are; above it
+# the bracketed form is used.
+DIRECT_VALUES = 2_000_000
 
 
 def exact_quantiles(
@@ -17,19 +18,25 @@ def exact_quantiles(
     columns: Seq[str],
     probabilities: Seq[float],
     rows: int | None = None,
-    direct_rows: int = DIRECT_ROWS,
+    direct_values: int = DIRECT_VALUES,
 ) -> DataFrame:
     """One row with an array column per input column; nulls are ignored.
 
     `rows` is the length of `df` when it is known already.
     """
     rows = df.count() if rows is None else rows
-    if rows <= direct_rows:
+    if rows <= direct_values or _most_distinct(df, columns) <= direct_values:
         wanted = F.array(*[F.lit(p) for p in probabilities])
         return df.agg(*[F.percentile(c, wanted).alias(c) for c in columns])
     return _bracketed(df, columns, probabilities, accuracy=min(1_000_000, max(10_000, rows // 1000)))
 
 
+def _most_distinct(df: DataFrame, columns: Seq[str]) -> float:
+    """An estimate, raised by its error, of the most distinct values any column has."""
+    estimates = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
+    return 1.1 * max(estimates)
+
+
 def _bracketed(df: DataFrame, columns: Seq[str], probabilities: Seq[float], accuracy: int) -> DataFrame:
     """Bracket each quantile with a sketch, then count exactly inside the bracket.
 

@@ -29,6 +29,7 @@ def average_ranks(
     (over all rows) and `<name>_group_rank` (inside the row's group).
 
     Values are counted before they are ordered, so repeated values cost one row.
+    The result is stored: overall and per-group coefficients both read it.
     """
     long = rows.select(
         ROW,
@@ -43,13 +44,14 @@ def average_ranks(
         ranked = long.join(F.broadcast(_rank_locally(counts, group)), _same_value(group, long), "inner")
     else:
         ranked = _join_skewed(long, store(_rank_distributed(counts, group), "ranks"), length, group)
-    return ranked.groupBy(ROW, group).agg(
+    wide = ranked.groupBy(ROW, group).agg(
         *[
             F.max(F.when(F.col("var") == i, F.col(kind))).alias(f"{name}_{kind}")
             for i, name in enumerate(variables)
             for kind in ("rank", "group_rank")
         ]
     )
+    return store(wide, "row_ranks")
 
 
 def _mean_position(upto: Column, ties: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence as Seq
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,16 +55,34 @@ def usable_pairs(df: DataFrame, pairs: Seq[Pair] = PAIRS) -> list[tuple[int, Pai
     return [(i, p) for i, p in enumerate(pairs) if {p.x, p.y} <= set(df.columns)]
 
 
+# Wider aggregations outgrow what one generated method may hold and run interpreted,
+# dozens of times slower per row; a further scan of the few columns is far cheaper.
+PAIRS_PER_SCAN = 6
+
+
 def _per_pair(df: DataFrame, by: Seq[str], pairs: list[tuple[int, Column, Column]], name: str) -> DataFrame:
-    """All pairs in one aggregation: (by, group_rows, pair_ord, n, <name>)."""
+    """(by, group_rows, pair_ord, n, <name>) with the coefficient of each pair."""
+    parts = [
+        _one_scan(df, by, pairs[k : k + PAIRS_PER_SCAN], name) for k in range(0, len(pairs), PAIRS_PER_SCAN)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _one_scan(df: DataFrame, by: Seq[str], pairs: list[tuple[int, Column, Column]], name: str) -> DataFrame:
     cells = [
-        F.struct(F.lit(i).alias(PAIR), F.regr_count(y, x).alias("n"), F.corr(x, y).alias(name))
+        F.struct(F.lit(i).alias(PAIR), F.regr_count(y, x).alias("n"), _coefficient(x, y).alias(name))
         for i, x, y in pairs
     ]
     grouped = df.groupBy(*by).agg(F.count(F.lit(1)).alias("group_rows"), F.array(*cells).alias("cells"))
     return grouped.select(*by, "group_rows", F.inline("cells"))
 
 
+def _coefficient(x: Column, y: Column) -> Column:
+    """Pearson r over rows with both values; NULL, not an error, when one is constant."""
+    spread = F.stddev_samp(F.when(y.isNotNull(), x)) * F.stddev_samp(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_samp(x, y), spread)
+
+
 def pearson(df: DataFrame, by: Seq[str] = (), pairs: Seq[Pair] = PAIRS) -> DataFrame:
     """Unrounded Pearson r per pair on rows where both values exist."""
     usable = [(i, F.col(p.x), F.col(p.y)) for i, p in usable_pairs(df, pairs)]
@@ -201,20 +220,18 @@ def correlation_report(
 
 
 def correlation_matrix(df: DataFrame, columns: Seq[str] = MATRIX_COLUMNS) -> DataFrame:
-    """Pearson matrix in long form (x, y, r): one aggregation, each pair computed once."""
+    """Pearson matrix in long form (x, y, r); each pair is computed once."""
     have = present(df, columns)
-    name = {(a, b): f"r_{i}_{j}" for i, a in enumerate(have) for j, b in enumerate(have) if i <= j}
-    row = df.agg(*[F.corr(a, b).alias(n) for (a, b), n in name.items()])
-    cells = [
-        F.struct(
-            F.lit(a).alias("x"),
-            F.lit(b).alias("y"),
-            stable(F.col(name.get((a, b)) or name[(b, a)]), 3).alias("r"),
-        )
-        for a in have
-        for b in have
-    ]
-    return row.select(F.inline(F.array(*cells)))
+    pairs = [(a, b) for i, a in enumerate(have) for b in have[i:]]
+    r = _per_pair(df, (), [(i, F.col(a), F.col(b)) for i, (a, b) in enumerate(pairs)], "r")
+
+    first = F.array(*[F.lit(a) for a, _ in pairs])[F.col(PAIR)]
+    second = F.array(*[F.lit(b) for _, b in pairs])[F.col(PAIR)]
+    mirrored = F.array(
+        F.struct(first.alias("x"), second.alias("y")), F.struct(second.alias("x"), first.alias("y"))
+    )
+    # The diagonal mirrors onto itself.
+    return r.select(F.inline(F.array_distinct(mirrored)), stable(F.col("r"), 3).alias("r"))
 
 
 def matrix_wide(long: DataFrame, columns: Seq[str] = MATRIX_COLUMNS) -> DataFrame:

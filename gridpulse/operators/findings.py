@@ -184,7 +184,7 @@ def finding_inputs(metrics: DataFrame, bottlenecks: DataFrame, anomalies: DataFr
         row.withColumn("_b", bottleneck_inputs(bottlenecks).select(F.struct("*")).scalar())
         .withColumn("_a", anomaly_inputs(anomalies).select(F.struct("*")).scalar())
         .select(*names, "_b.*", "_a.*")
-        .withColumn("pct_safe", half_even((1 - F.col("thermal") / F.col("total_rows")) * 100, 1))
+        .withColumn("pct_safe", half_even((1 - F.try_divide("thermal", "total_rows")) * 100, 1))
     )
 
 

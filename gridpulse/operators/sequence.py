@@ -32,7 +32,7 @@ BLOCK = "_block"
 CARRY = "_carry"  # True on rows that only transport a value into a block
 
 MIN_BLOCK = 64
-MAX_BLOCK = 100_000
+MAX_BLOCK = 4000  # with halo and carry rows, a block stays in the window operator's row buffer
 SUPER = 4096  # blocks scanned together on the first level of a carry scan
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the in-partition position there
