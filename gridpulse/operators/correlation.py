@@ -112,10 +112,12 @@ def rank_table(seq: Sequence, pairs: Seq[Pair] = PAIRS, local_values: int = LOCA
         for i, p in usable:
             both = F.col(p.x).isNotNull() & F.col(p.y).isNotNull()
             variables |= {f"{i}_x": F.when(both, F.col(p.x)), f"{i}_y": F.when(both, F.col(p.y))}
-    rows = seq.rows
-    if WORKLOAD not in rows.columns:
-        rows = rows.withColumn(WORKLOAD, F.lit(None).cast("string"))
-    return average_ranks(rows, seq.length, variables, WORKLOAD, local_values)
+    return average_ranks(_with_workload(seq.rows), seq.length, variables, WORKLOAD, local_values)
+
+
+def _with_workload(df: DataFrame) -> DataFrame:
+    """Without a category every row belongs to none, so there is nothing to break down by."""
+    return df if WORKLOAD in df.columns else df.withColumn(WORKLOAD, F.lit(None).cast("string"))
 
 
 def spearman(ranks: DataFrame, by: Seq[str] = (), pairs: Seq[Pair] = PAIRS) -> DataFrame:
@@ -162,7 +164,7 @@ def correlations_by_workload(
     by = (WORKLOAD,)
     rho = spearman(ranks, by, pairs).drop("n", "group_rows")
     both = (
-        pearson(seq.rows, by, pairs)
+        pearson(_with_workload(seq.rows), by, pairs)
         .where(F.col(WORKLOAD).isNotNull() & (F.col("group_rows") > MIN_GROUP_ROWS))
         .join(rho, [WORKLOAD, PAIR], "left")
     )
@@ -213,12 +215,16 @@ def correlation_report(
         .groupBy(F.col(PAIR).alias("_pair"))
         .agg(F.map_from_entries(F.collect_list(F.struct(F.col(WORKLOAD), values))).alias("by_workload"))
     )
+    none = F.map_from_entries(F.array().cast(f"array<struct<k:string,v:{_VALUES}>>"))
     return overall.join(nested, F.col(PAIR) == F.col("_pair"), "left").select(
         PAIR, "pair", "x_col", "y_col", "pearson_r", "pearson_p", "spearman_r", "spearman_p",
-        "strength", "direction", "interpretation", "by_workload",
+        "strength", "direction", "interpretation", F.coalesce("by_workload", none).alias("by_workload"),
     )
 
 
+_VALUES = "struct<pearson_r:double,spearman_r:double>"
+
+
 def correlation_matrix(df: DataFrame, columns: Seq[str] = MATRIX_COLUMNS) -> DataFrame:
     """Pearson matrix in long form (x, y, r); each pair is computed once."""
     have = present(df, columns)
