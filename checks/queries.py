@@ -134,22 +134,18 @@ def _flags(suffixes: tuple[str, ...]) -> list[str]:
     return [f"{m}_{s}" for m in METRICS for s in suffixes]
 
 
-def _correlations(run: Run) -> DataFrame:
-    return correlation.correlation_report(run.metrics)
-
-
 def _per_hour_correlation(run: Run) -> DataFrame:
     hourly = run.metrics.rows.withColumn("hour_start", F.date_trunc("HOUR", TS))
     return correlation.guarded_pearson(hourly, ["hour_start"])
 
 
 def _spearman(run: Run) -> DataFrame:
-    table = correlation.pair_correlations(run.metrics, correlation.rank_table(run.metrics))
+    table = correlation.pair_correlations(run.metrics, run.ranks)
     return table.select("pair_ord", "n", "spearman_r")
 
 
 def _pvalues(run: Run) -> DataFrame:
-    table = correlation.pair_correlations(run.metrics, correlation.rank_table(run.metrics))
+    table = correlation.pair_correlations(run.metrics, run.ranks)
     return table.select("pair_ord", "pearson_p", "spearman_p")
 
 
@@ -269,16 +265,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "corr_spearman": _on_run(_spearman),
         "corr_pvalues": _on_run(_pvalues),
         "corr_by_workload": _on_run(
-            lambda r: correlation.correlations_by_workload(r.metrics, correlation.rank_table(r.metrics))
+            lambda r: correlation.correlations_by_workload(r.metrics, r.ranks)
         ),
-        "corr_report": _on_run(lambda r: _correlations(r).drop("by_workload", "pearson_p", "spearman_p")),
+        "corr_report": _on_run(lambda r: r.correlations.drop("by_workload", "pearson_p", "spearman_p")),
         "corr_matrix": _on_metrics(correlation.correlation_matrix),
         "corr_matrix_wide": _on_metrics(
             lambda m: correlation.matrix_wide(correlation.correlation_matrix(m))
         ),
         "corr_heatmap": _on_metrics(lambda m: correlation.heatmap_cells(correlation.correlation_matrix(m))),
         "corr_strong_pairs": _on_run(
-            lambda r: _correlations(r).where("strength = 'Strong'").orderBy("pair_ord").limit(4)
+            lambda r: r.correlations.where("strength = 'Strong'").orderBy("pair_ord").limit(4)
             .select("pair", "x_col", "y_col", "pearson_r")
         ),
         # bottleneck summaries
@@ -337,7 +333,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "findings": _on_run(
             lambda r: findings.key_findings(
-                findings.finding_inputs(r.metrics.rows, r.bottlenecks, r.anomalies), _correlations(r)
+                findings.finding_inputs(r.metrics.rows, r.bottlenecks, r.anomalies), r.correlations
             )
         ),
         "strategies": _on_all(

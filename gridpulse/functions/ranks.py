@@ -9,8 +9,8 @@ from gridpulse.operators.sequence import Sequence
 from gridpulse.schema import ROW
 from gridpulse.workspace import store
 
-# Up to this many distinct (group, variable, value) rows, one window per variable
-# ranks them and the result is broadcast; beyond it both are distributed.
+# Up to this many distinct (group, variable, value) rows (some 100 MB), one window
+# per variable ranks them and the result is broadcast; beyond it both are distributed.
 LOCAL_VALUES = 1_000_000
 
 # A value that fills more than 1/HOT_SHARE of the rows is joined by broadcast;
@@ -29,7 +29,7 @@ def average_ranks(
     (over all rows) and `<name>_group_rank` (inside the row's group).
 
     Values are counted before they are ordered, so repeated values cost one row.
-    The result is stored: overall and per-group coefficients both read it.
+    With few distinct values the ranks are looked up in place, without a shuffle.
     """
     long = rows.select(
         ROW,
@@ -39,11 +39,9 @@ def average_ranks(
         ),
     ).where(F.col("x").isNotNull())
     counts = store(long.groupBy(group, "var", "x").agg(F.count(F.lit(1)).alias("cnt")), "value_counts")
-    distinct = counts.count()
-    if distinct <= local_values:
-        ranked = long.join(F.broadcast(_rank_locally(counts, group)), _same_value(group, long), "inner")
-    else:
-        ranked = _join_skewed(long, store(_rank_distributed(counts, group), "ranks"), length, group)
+    if counts.count() <= local_values:
+        return _look_up(rows, store(_rank_locally(counts, group), "ranks"), variables, group)
+    ranked = _join_skewed(long, store(_rank_distributed(counts, group), "ranks"), length, group)
     wide = ranked.groupBy(ROW, group).agg(
         *[
             F.max(F.when(F.col("var") == i, F.col(kind))).alias(f"{name}_{kind}")
@@ -54,6 +52,21 @@ def average_ranks(
     return store(wide, "row_ranks")
 
 
+def _look_up(rows: DataFrame, ranks: DataFrame, variables: dict[str, Column], group: str) -> DataFrame:
+    """One broadcast join per variable; together the tables hold at most `local_values` rows."""
+    out = rows.select(ROW, group, *[v.alias(f"_x{i}") for i, v in enumerate(variables.values())])
+    for i, name in enumerate(variables):
+        table = ranks.where(F.col("_var") == i).select(
+            F.col("_group").alias(f"_group{i}"),
+            F.col("_x").alias(f"_value{i}"),
+            F.col("rank").alias(f"{name}_rank"),
+            F.col("group_rank").alias(f"{name}_group_rank"),
+        )
+        same = (F.col(f"_x{i}") == F.col(f"_value{i}")) & F.col(group).eqNullSafe(F.col(f"_group{i}"))
+        out = out.join(F.broadcast(table), same, "left")
+    return out.select(ROW, group, *[f"{n}_{kind}" for n in variables for kind in ("rank", "group_rank")])
+
+
 def _mean_position(upto: Column, ties: Column) -> Column:
     return upto - (ties - 1) / 2
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence as Seq
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -174,7 +175,8 @@ def vote(df: DataFrame, metrics: Seq[str] = METRICS, keep: Seq[str] = ()) -> Dat
             ]
         )
     )
-    flagged = df.select(TS, *extra, F.inline(points))
+    any_flag = reduce(lambda a, b: a | b, [methods(c) >= 1 for c in columns], F.lit(False))
+    flagged = df.where(any_flag).select(TS, *extra, F.inline(points))
     votes = F.col("methods_flagged")
     confidence = F.when(votes >= 3, "high").when(votes >= 2, "medium").otherwise("low")
     table = flagged.withColumns({"confidence": confidence, "is_anomaly": votes >= 2})

@@ -102,7 +102,7 @@ def bottleneck_timeline(bottlenecks: DataFrame) -> DataFrame:
 
 
 def _minute() -> Column:
-    return F.date_format(TS, "yyyy-MM-dd HH:mm").alias(TS)
+    return F.substring(F.col(TS).cast("string"), 1, 16).alias(TS)
 
 
 def bottleneck_listing(bottlenecks: DataFrame, rows: int = LISTING_ROWS) -> DataFrame:

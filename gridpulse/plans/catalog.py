@@ -41,21 +41,19 @@ CORRELATED_ROWS = 50  # fixed value: rows the query shows
 # least one row, so they come from the first events that have a partner and from
 # the first partners in their minute.  Both sides are cut to that many per minute
 # (row_number() <= n is applied before the shuffle), so a minute that holds a large
-# share of all events never forms all its pairs.
+# share of all events never forms all its pairs.  The minute is the text up to the
+# minute: unlike date_trunc, text does not depend on the session's time zone.
 _CORRELATED = """
         WITH a AS (
             SELECT * FROM (
-                SELECT *, date_trunc('MINUTE', timestamp) AS minute,
-                       row_number() OVER (PARTITION BY date_trunc('MINUTE', timestamp)
-                                          ORDER BY {row}, {metric}) AS nth
-                FROM anomalies WHERE is_anomaly = 1)
+                SELECT *, row_number() OVER (PARTITION BY minute ORDER BY {row}, {metric}) AS nth
+                FROM (SELECT *, SUBSTR(CAST(timestamp AS STRING), 1, 16) AS minute
+                      FROM anomalies WHERE is_anomaly = 1))
             WHERE nth <= {rows}
         ), b AS (
             SELECT * FROM (
-                SELECT *, date_trunc('MINUTE', timestamp) AS minute,
-                       row_number() OVER (PARTITION BY date_trunc('MINUTE', timestamp)
-                                          ORDER BY timestamp, {row}, {rule}) AS nth
-                FROM bottlenecks)
+                SELECT *, row_number() OVER (PARTITION BY minute ORDER BY timestamp, {row}, {rule}) AS nth
+                FROM (SELECT *, SUBSTR(CAST(timestamp AS STRING), 1, 16) AS minute FROM bottlenecks))
             WHERE nth <= {rows}
         ), first_b AS (
             SELECT b.* FROM b LEFT SEMI JOIN a ON b.minute = a.minute
@@ -92,7 +90,7 @@ QUERIES = (
         "hot_windows", "Top 5 Hottest Periods", "Thermal",
         "Highest temperature 10-minute windows",
         """
-        SELECT date_format(window.start, 'yyyy-MM-dd HH:mm') AS time_window,
+        SELECT SUBSTR(CAST(window.start AS STRING), 1, 16) AS time_window,
                ROUND(MAX(temperature), 1) AS max_temp,
                ROUND(ROUND(AVG(temperature), 8), 1) AS avg_temp,
                ROUND(ROUND(AVG(gpu_usage), 8), 1) AS avg_gpu_during,

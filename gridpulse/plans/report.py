@@ -4,22 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from gridpulse.operators import correlation, findings, summaries
+from gridpulse.operators import findings, summaries
 from gridpulse.plans.run import Run
 
 
 def report_tables(run: Run) -> dict[str, DataFrame]:
     """Everything a report shows, one small table per section."""
     metrics, bottlenecks, anomalies = run.metrics.rows, run.bottlenecks, run.anomalies
-    correlations = correlation.correlation_report(run.metrics)
     inputs = findings.finding_inputs(metrics, bottlenecks, anomalies)
     return {
         "header": summaries.report_header(metrics, bottlenecks, anomalies),
-        "findings": findings.key_findings(inputs, correlations),
+        "findings": findings.key_findings(inputs, run.correlations),
         "bottlenecks": summaries.report_issue_levels(bottlenecks),
         "anomaly_totals": summaries.anomaly_totals(anomalies),
         "anomalies": summaries.anomalies_by_metric(anomalies),
-        "correlations": correlations,
+        "correlations": run.correlations,
         "strategies": findings.mitigation_strategies(inputs),
     }
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence as Seq
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from gridpulse.operators import anomalies, cleaning, features, rules
+from gridpulse.operators import anomalies, cleaning, correlation, features, rules
 from gridpulse.operators.sequence import Sequence
 from gridpulse.schema import TS, present
 from gridpulse.workspace import store
@@ -27,6 +28,15 @@ class Run:
     bottlenecks: DataFrame
     anomalies: DataFrame
 
+    @cached_property
+    def ranks(self) -> DataFrame:
+        """Ranks of the correlated metrics, prepared when first asked for."""
+        return correlation.rank_table(self.metrics)
+
+    @property
+    def correlations(self) -> DataFrame:
+        return correlation.correlation_report(self.metrics, self.ranks)
+
 
 def prepare(raw: Sequence) -> Sequence:
     """Clean, normalise and derive all features plus the trailing anomaly flags.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.operators.anomalies import confirmed
-from gridpulse.schema import ANOMALIES, BOTTLENECKS, CLEANED_METRICS, RAW_METRICS, SYSTEM_METRICS, TS, conform
+from gridpulse.schema import ANOMALIES, BOTTLENECKS, CLEANED_METRICS, RAW_METRICS, ROW, SYSTEM_METRICS, TS, conform
 from gridpulse.sources.metrics import CSV_OPTIONS
 
 
@@ -25,8 +25,13 @@ def save_cleaned_csv(df: DataFrame, folder: str) -> str:
 
 
 def save_metrics(df: DataFrame, path: str) -> str:
-    """The feature table, partitioned by day so that time filters prune files."""
-    table = conform(df, SYSTEM_METRICS).withColumn("date", F.to_date(TS))
+    """The feature table, partitioned by day so that time filters prune files.
+
+    Range-partitioning by time first gives every task one or two days to write;
+    a day with a large share of the rows is spread over many tasks.
+    """
+    order = [TS] + [c for c in (ROW,) if c in df.columns]
+    table = conform(df.repartitionByRange(*order), SYSTEM_METRICS).withColumn("date", F.to_date(TS))
     table.write.mode("overwrite").partitionBy("date").parquet(path)
     return path
 
