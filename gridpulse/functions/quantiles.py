@@ -33,8 +33,8 @@ def exact_quantiles(
 
 def _most_distinct(df: DataFrame, columns: Seq[str]) -> float:
     """An estimate, raised by its error, of the most distinct values any column has."""
-    estimates = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
-    return 1.1 * max(estimates)
+    estimates = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in columns]).first()
+    return 1.2 * max(estimates)
 
 
 def _bracketed(df: DataFrame, columns: Seq[str], probabilities: Seq[float], accuracy: int) -> DataFrame:
