@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from gridpulse.operators import correlation, findings, rules
 from gridpulse.operators.summaries import METRIC_LABELS
-from gridpulse.schema import METRICS, NORMALIZED, VALID_RANGE
+from gridpulse.schema import METRICS, NORMALIZED
 
 # -- expressions -------------------------------------------------------------------------
 
@@ -58,8 +58,11 @@ def filled_cte(source: str, name: str, keys: str = "") -> str:
 {name} AS MATERIALIZED (SELECT {kept}, {", ".join(fill(c) for c in METRICS)} FROM {name}_near)"""
 
 
+LIMITS = {"temperature": (20, 105), "power_consumption": (50, 500)}
+
+
 def clipped(c: str) -> str:
-    low, high = VALID_RANGE[c]
+    low, high = LIMITS.get(c, (0, 100))
     return f"CASE WHEN {c} IS NOT NULL THEN greatest({low}::DOUBLE, least({c}, {high}::DOUBLE)) END AS {c}"
 
 
@@ -130,6 +133,19 @@ FEATURES = f"""feat AS MATERIALIZED (
   FROM clean {_rolling_frames})"""
 
 
+# Stated here again, so that a changed threshold in the library shows as a mismatch.
+CONDITIONS = {
+    "gpu_bottleneck": "gpu_usage > 90",
+    "cpu_bottleneck": "cpu_usage > 85",
+    "memory_pressure": "85 < memory_usage AND memory_usage <= 95",
+    "memory_critical": "memory_usage > 95",
+    "overheating": "85 < temperature AND temperature <= 90",
+    "thermal_throttle": "temperature > 90",
+    "cpu_underutilization": "gpu_usage > 90 AND cpu_usage < 30",
+    "power_limit": "power_consumption > 320",
+}
+
+
 def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -145,7 +161,7 @@ BOTTLENECKS = "bn AS MATERIALIZED (\n" + "\nUNION ALL\n".join(
     f"""  SELECT event_id, row_idx, timestamp, {quoted(r.issue)} AS issue, {reason(r)} AS reason,
     {quoted(r.severity)} AS severity, {quoted(r.severity_icon)} AS severity_icon,
     {quoted(r.recommendation)} AS recommendation, {i} AS rule_ord
-  FROM feat WHERE {r.condition}"""
+  FROM feat WHERE {CONDITIONS[r.id]}"""
     for i, r in enumerate(rules.RULES)
 ) + ")"
 
