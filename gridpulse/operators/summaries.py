@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridpulse.functions.quantiles import exact_quantiles
 from gridpulse.functions.rounding import denoise, stable
 from gridpulse.operators.rules import RULE, RULES
-from gridpulse.schema import METRICS, ROW, TS, WORKLOAD, present
+from gridpulse.schema import ROW, TS, WORKLOAD, present
 
 # Display names, gauge limits (good, warn), severity levels.
 METRIC_LABELS = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.schema import METRICS, RAW_METRICS, present
+from gridpulse.schema import RAW_METRICS, present
 
 # Microseconds are written and may be absent when read.
 _CSV_TIME = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
