@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import mixing, quality
+from gridpulse.llm import decontamination, fingerprints, mixing, quality, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,19 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", taken, "rate", "copies")
 
 
+def op2_link_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return fingerprints.compared_with_next(docs, fingerprints.lexicon(docs))
+
+
 def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.quality_scores(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
@@ -28,6 +41,9 @@ def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_link_secrets": op2_link_secrets,
+        "op4_benchmark_leaks": op4_benchmark_leaks,
+        "op6_fingerprints": op6_fingerprints,
         "op9_quality_scores": op9_quality_scores,
     }
 
