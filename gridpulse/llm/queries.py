@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import decontamination, fingerprints, mixing, quality, secrets
+from gridpulse.llm import decontamination, fingerprints, mixing, quality, secrets, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,14 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared_with_next(docs, fingerprints.lexicon(docs))
 
 
+def op7_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(_table(spark, sf_dir, "documents"))
+
+
+def op8_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.quality_scores(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
@@ -44,6 +52,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_link_secrets": op2_link_secrets,
         "op4_benchmark_leaks": op4_benchmark_leaks,
         "op6_fingerprints": op6_fingerprints,
+        "op7_suffix_arrays": op7_suffix_arrays,
+        "op8_repeated_windows": op8_repeated_windows,
         "op9_quality_scores": op9_quality_scores,
     }
 
