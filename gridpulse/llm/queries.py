@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import decontamination, fingerprints, mixing, quality, secrets, substring_dedup, suffix_dedup
+from gridpulse.llm import decontamination, fingerprints, mixing, near_dedup, quality, secrets, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_suffix_arrays": op7_suffix_arrays,
         "op8_repeated_windows": op8_repeated_windows,
         "op9_quality_scores": op9_quality_scores,
+        "op10_near_duplicates": op10_near_duplicates,
     }
 
 
