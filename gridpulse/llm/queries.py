@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import decontamination, fingerprints, mixing, near_dedup, quality, secrets, substring_dedup, suffix_dedup
+from gridpulse.llm import decontamination, fingerprints, language_model, licenses, mixing, near_dedup, quality, secrets, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +24,21 @@ def op2_link_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
+def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(_table(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no paths; their source, language and id stand for directories and a file name."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.col("doc_id").cast("string"))
+    docs = _table(spark, sf_dir, "documents").withColumn("path", path)
+    return licenses.licenses(docs, licenses.fitted(docs))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return fingerprints.compared_with_next(docs, fingerprints.lexicon(docs))
@@ -54,7 +65,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op2_link_secrets": op2_link_secrets,
+        "op3_pitman_yor": op3_pitman_yor,
         "op4_benchmark_leaks": op4_benchmark_leaks,
+        "op5_licenses": op5_licenses,
         "op6_fingerprints": op6_fingerprints,
         "op7_suffix_arrays": op7_suffix_arrays,
         "op8_repeated_windows": op8_repeated_windows,
