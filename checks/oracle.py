@@ -445,8 +445,31 @@ TOTALS = "(SELECT count(*) FROM bn) AS total_bottlenecks, (SELECT count(*) FROM
 RANGE = "strftime(min(timestamp), '%Y-%m-%d') || ' to ' || strftime(max(timestamp), '%Y-%m-%d') AS data_range"
 
 
+def _entries(table: str, key: str, where: str = "true", top: str = "") -> str:
+    """Counts by a key as sorted `key=count` text."""
+    counted = f"SELECT {key} AS k, count(*) AS n FROM {table} WHERE {where} GROUP BY k {top}"
+    return f"(SELECT coalesce(string_agg(k || '=' || n, ',' ORDER BY k || '=' || n), '') FROM ({counted}))"
+
+
 def oracle_sql() -> dict[str, str]:
     twins = {
+        "bn_summary": over(
+            "bn",
+            f"SELECT count(*) AS total, {_entries('bn', 'issue')} AS by_type, {_entries('bn', 'severity')} AS by_severity, "
+            + _entries("bn", "hour(timestamp)", top="ORDER BY n DESC, k LIMIT 5")
+            + " AS most_affected_hours FROM bn",
+        ),
+        "an_summary": over(
+            "an",
+            "SELECT count(*) AS total, count(*) FILTER (WHERE is_anomaly) AS confirmed, "
+            f"{_entries('an', 'metric', 'is_anomaly')} AS by_metric, {_entries('an', 'confidence')} AS by_confidence, "
+            f"{_entries('an', 'hour(timestamp)', 'is_anomaly')} AS hourly_distribution FROM an",
+        ),
+        "timeline_limits": """SELECT * FROM (VALUES
+            ('gpu_cpu', 'Critical', 90e0, 90e0), ('temperature', 'Danger Zone', 85e0, 100e0), ('temperature', 'Throttle', 90e0, 90e0),
+            ('memory', 'Warning', 85e0, 85e0), ('memory', 'Critical', 95e0, 95e0)) t(timeline, label, low, high)
+            WHERE (SELECT count(*) FROM events) > 0""",
+        "analyse_text_input": over("feat", "SELECT event_id, gpu_usage, rolling_avg_gpu_5 FROM feat"),
         "src_metrics": over("src", f"SELECT event_id, timestamp, {M}, workload_type FROM src"),
         "csv_roundtrip": over(
             "feat", f"SELECT timestamp, {M}, workload_type, {', '.join(NORMALIZED)} FROM feat"
@@ -713,6 +736,15 @@ FROM feat GROUP BY 1""",
 FROM bn b JOIN an a ON date_trunc('minute', b.timestamp) = date_trunc('minute', a.timestamp)
 WHERE a.is_anomaly ORDER BY b.timestamp, b.row_idx, b.rule_ord, a.row_idx, a.metric_ord LIMIT 50""",
         ),
+        "reopened_q8": over(
+            "bn an",
+            """SELECT b.timestamp, b.issue AS bottleneck_type, b.severity, a.metric AS anomaly_metric, a.z_score, a.confidence
+FROM bn b JOIN an a ON date_trunc('minute', b.timestamp) = date_trunc('minute', a.timestamp)
+WHERE a.is_anomaly ORDER BY b.timestamp, b.row_idx, b.rule_ord, a.row_idx, a.metric_ord LIMIT 50""",
+        ),
+        "reopened_filter": over(
+            "feat", "SELECT event_id, gpu_usage FROM feat WHERE timestamp BETWEEN '2024-01-05' AND '2024-01-06 12:00:00'"
+        ),
         "adhoc_sql": over(
             "bn",
             "SELECT s.workload_type, b.severity, count(*) AS events FROM bn b JOIN feat s USING (row_idx) GROUP BY 1, 2",

@@ -15,6 +15,7 @@ from gridpulse.operators import anomalies, cleaning, correlation, features, find
 from gridpulse.operators.sequence import Sequence
 from gridpulse.plans import catalog
 from gridpulse.plans.run import Run, analyse, prepare
+from gridpulse.plans.stored import open_run, save_run
 from gridpulse.schema import (
     BOTTLENECKS,
     CLEANED_METRICS,
@@ -134,8 +135,36 @@ def _flags(suffixes: tuple[str, ...]) -> list[str]:
     return [f"{m}_{s}" for m in METRICS for s in suffixes]
 
 
+def _maps_as_text(row: DataFrame) -> DataFrame:
+    """Map columns as sorted `key=count` entries, which SQL engines can compare."""
+
+    def text(c: str):
+        entries = F.transform(F.map_entries(c), lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"].cast("string")))
+        return F.array_join(F.array_sort(entries), ",")
+
+    return row.withColumns({c: text(c) for c, kind in row.dtypes if kind.startswith("map")})
+
+
+def _reopened(spark: SparkSession, sf_dir: str) -> Run:
+    return open_run(spark, save_run(run_of(spark, sf_dir), new_path(spark, "saved_run")))
+
+
+def _timeline_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The limit lines, for a series that has any reading."""
+    return shaping.limit_lines(spark).join(metrics_from_events(spark, sf_dir).limit(1).select(), how="left_semi")
+
+
+def _text_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The analysis of a source that writes times as text and missing readings as NaN."""
+    source = metrics_from_events(spark, sf_dir)
+    parts = [F.year(TS), F.month(TS), F.dayofmonth(TS), F.date_format(TS, "HH:mm:ss.SSSSSS")]
+    text = F.concat_ws("-", *parts[:3], F.lit(None).cast("string"))
+    written = source.withColumns({m: F.coalesce(m, F.lit(float("nan"))) for m in METRICS} | {TS: F.concat(text, F.lit(" "), parts[3])})
+    return analyse(written, ORDER, keep=(ID,)).metrics.rows.select(ID, "gpu_usage", "rolling_avg_gpu_5")
+
+
 def _per_hour_correlation(run: Run) -> DataFrame:
-    hourly = run.metrics.rows.withColumn("hour_start", F.date_trunc("HOUR", TS))
+    hourly = run.metrics.rows.withColumn("hour_start", F.window(TS, "1 hour")["start"])
     return correlation.guarded_pearson(hourly, ["hour_start"])
 
 
@@ -244,10 +273,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda m: anomalies.zscores(m).select(ID, *_flags(("zscore", "zscore_flag")))
         ),
         "anomaly_iqr": _on_run(
-            lambda r: anomalies.iqr_flags(r.metrics.rows, rows=r.metrics.length).select(ID, *_flags(("iqr_flag",)))
+            lambda r: anomalies.iqr_flags(r.metrics.rows).select(ID, *_flags(("iqr_flag",)))
         ),
         "iqr_fences": _on_run(
-            lambda r: anomalies.iqr_fences(r.metrics.rows, rows=r.metrics.length).withColumns(
+            lambda r: anomalies.iqr_fences(r.metrics.rows).withColumns(
                 {c: F.round(c, 6) for c in ("lower_fence", "upper_fence")}
             )
         ),
@@ -282,7 +311,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bn_by_severity": _on_bottlenecks(summaries.bottlenecks_by_severity),
         "bn_top_hours": _on_bottlenecks(summaries.top_hours),
         "bn_frequency": _on_bottlenecks(summaries.bottleneck_frequency),
-        "bn_summary": _on_bottlenecks(summaries.bottleneck_summary),
+        "timeline_limits": _timeline_limits,
+        "reopened_q8": lambda spark, sf_dir: catalog.run_query(_reopened(spark, sf_dir), "correlated_events"),
+        "reopened_filter": lambda spark, sf_dir: shaping.apply_filters(
+            _reopened(spark, sf_dir).metrics.rows, date_range=("2024-01-05", "2024-01-06 12:00:00")
+        ).select(ID, "gpu_usage"),
+        "analyse_text_input": _text_input,
+        "bn_summary": _on_bottlenecks(lambda b: _maps_as_text(summaries.bottleneck_summary(b))),
         "bn_timeline": _on_bottlenecks(lambda b: shaping.bottleneck_timeline(b).drop("reason")),
         "issue_counts_row": _on_bottlenecks(summaries.issue_counts),
         "report_issue_levels": _on_bottlenecks(summaries.report_issue_levels),
@@ -292,7 +327,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "anomaly_confidence_counts": _on_anomalies(summaries.confidence_counts),
         "an_hourly": _on_anomalies(summaries.anomalies_by_hour),
         "an_totals": _on_anomalies(summaries.anomaly_totals),
-        "an_summary": _on_anomalies(summaries.anomaly_summary),
+        "an_summary": _on_anomalies(lambda a: _maps_as_text(summaries.anomaly_summary(a))),
         "anomaly_heatmap": _on_anomalies(summaries.anomaly_heatmap),
         # metric summaries
         "kpi_row": _on_all(summaries.kpi_row),
@@ -301,7 +336,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "power_by_workload_chart": _on_metrics(summaries.power_by_workload),
         "workload_distribution": _on_metrics(summaries.workload_distribution),
         "health_gauges": _on_metrics(summaries.health_gauges),
-        "describe_metrics": _on_run(lambda r: summaries.describe_metrics(r.raw, r.metrics.length)),
+        "describe_metrics": _on_run(lambda r: summaries.describe_metrics(r.raw)),
         # report
         "health_score": _on_all(lambda m, b, a: summaries.health_score(b, a)),
         "report_header": _on_all(summaries.report_header),

@@ -1,114 +1,116 @@
-"""Exact quantiles (linear interpolation) that do not need all values in one place."""
+"""Exact quantiles (linear interpolation) that do not need all values in one place.
+
+Every wanted rank is narrowed down by equal-width histograms: one scan counts the values per bin, the bin that holds
+the rank becomes the next, finer range.  A bin of one value, however often it occurs, or of few enough rows is done.  A task sends at
+most `BINS` rows per range, and three or four scans suffice for ordinary data; one path serves all sizes.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence as Seq
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The built-in exact percentile keeps one count per distinct value in memory.  Up to
-# about this many distinct values that is fine however many rows there are; above it
-# the bracketed form is used.
-DIRECT_VALUES = 2_000_000
-
-
-def exact_quantiles(
-    df: DataFrame,
-    columns: Seq[str],
-    probabilities: Seq[float],
-    rows: int | None = None,
-    direct_values: int = DIRECT_VALUES,
-) -> DataFrame:
-    """One row with an array column per input column; nulls are ignored.
+BINS = 1024
+#: Rows of a bin whose distinct values are counted one by one instead of being binned again.
+FEW_ROWS = 4096
 
-    `rows` is the length of `df` when it is known already.
-    """
-    rows = df.count() if rows is None else rows
-    if rows <= direct_values or _most_distinct(df, columns) <= direct_values:
-        wanted = F.array(*[F.lit(p) for p in probabilities])
-        return df.agg(*[F.percentile(c, wanted).alias(c) for c in columns])
-    return _bracketed(df, columns, probabilities, accuracy=min(1_000_000, max(10_000, rows // 1000)))
 
+@dataclass(frozen=True)
+class _Range:
+    """Values of a column between two of its values, and how many are smaller."""
 
-def _most_distinct(df: DataFrame, columns: Seq[str]) -> float:
-    """An estimate, raised by its error, of the most distinct values any column has."""
-    estimates = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in columns]).first()
-    return 1.2 * max(estimates)
+    column: str
+    low: float
+    high: float
+    below: int
+    rows: int
 
 
-def _bracketed(df: DataFrame, columns: Seq[str], probabilities: Seq[float], accuracy: int) -> DataFrame:
-    """Bracket each quantile with a sketch, then count exactly inside the bracket.
-
-    The sketch's rank error is at most rows/accuracy, so a bracket two errors wide
-    holds the wanted ranks; only the few values inside it are grouped and ordered.
-    The bracket is verified against exact counts and widened if it ever missed.
-    """
-    margin = 2.0 / accuracy
+def exact_quantiles(df: DataFrame, columns: Seq[str], probabilities: Seq[float], bins: int = BINS, few_rows: int = FEW_ROWS) -> DataFrame:
+    """One row with an array column per input column; nulls and NaN are ignored, infinities are values."""
+    columns = list(columns)
+    whole = _extent(df, columns)
+    ranks: dict[tuple[str, int], float | _Range] = {}
+    for c in columns:
+        for p in probabilities:
+            if whole[c].rows:
+                position = p * (whole[c].rows - 1)
+                for rank in (int(position), min(int(position) + 1, whole[c].rows - 1)):
+                    ranks[c, rank] = whole[c]
+    infinite = {c: _infinities(df, c, whole[c]) for c in columns if math.isinf(whole[c].low) or math.isinf(whole[c].high)}
+    for key, found in list(ranks.items()):
+        if key[0] in infinite:
+            ranks[key] = _finite(found, key[1], infinite[key[0]])
     while True:
-        brackets = _sketch(df, columns, probabilities, margin, accuracy)
-        checks = df.agg(
-            *[
-                F.count_if(F.col(c) < low).alias(f"below_{i}")
-                for i, (c, _, low, _, _) in enumerate(brackets)
-            ],
-            *[
-                F.count_if(F.col(c) <= high).alias(f"upto_{i}")
-                for i, (c, _, _, high, _) in enumerate(brackets)
-            ],
-        ).first()
-        if all(
-            n == 0 or (checks[f"below_{i}"] <= int(p * (n - 1)) and checks[f"upto_{i}"] >= min(n, int(p * (n - 1)) + 2))
-            for i, (_, p, _, _, n) in enumerate(brackets)
-        ):
+        ranks = {k: v.low if isinstance(v, _Range) and v.low == v.high else v for k, v in ranks.items()}
+        open_ = sorted({v for v in ranks.values() if isinstance(v, _Range)}, key=lambda r: (r.column, r.low))
+        if not open_:
             break
-        margin *= 8
-
-    inside = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(c).between(low, high), F.struct(F.lit(i).alias("i"), F.col(c).alias("x")))
-                for i, (c, _, low, high, _) in enumerate(brackets)
-            ]
-        )
-    )
-    counted = df.select(F.explode(inside).alias("e")).groupBy("e.i", "e.x").agg(F.count("*").alias("cnt"))
-    upto = Window.partitionBy("i").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    below = F.create_map(*[F.lit(v) for i in range(len(brackets)) for v in (i, checks[f"below_{i}"])])
-    ranked = counted.withColumn("upto", F.sum("cnt").over(upto) + below[F.col("i")])
-
-    def value_at(i: int, rank: int):
-        return F.min(F.when((F.col("i") == i) & (F.col("upto") > rank), F.col("x")))
-
-    def quantile(i: int, p: float, n: int):
-        if n == 0:
-            return F.lit(None).cast("double")
-        position = p * (n - 1)
-        lower = int(position)
-        weight = position - lower
-        return (1 - weight) * value_at(i, lower) + weight * value_at(i, min(lower + 1, n - 1))
-
-    quantiles = [quantile(i, p, n) for i, (_, p, _, _, n) in enumerate(brackets)]
-    per = len(probabilities)
-    return ranked.agg(
-        *[F.array(*quantiles[k * per : (k + 1) * per]).alias(c) for k, c in enumerate(columns)]
-    )
-
-
-def _sketch(df, columns, probabilities, margin, accuracy):
-    """(column, probability, low, high, non-null rows) per wanted quantile."""
-    edges = [max(0.0, p - margin) for p in probabilities] + [min(1.0, p + margin) for p in probabilities]
-    row = df.agg(
-        *[F.percentile_approx(c, edges, accuracy).alias(c) for c in columns],
-        *[F.min(c).alias(f"{c}_min") for c in columns],
-        *[F.max(c).alias(f"{c}_max") for c in columns],
-        *[F.count(c).alias(f"{c}_n") for c in columns],
-    ).first()
-    out = []
-    for c in columns:
-        for k, p in enumerate(probabilities):
-            n = row[f"{c}_n"]
-            low = row[f"{c}_min"] if p - margin <= 0 or n == 0 else row[c][k]
-            high = row[f"{c}_max"] if p + margin >= 1 or n == 0 else row[c][len(probabilities) + k]
-            out.append((c, p, low, high, n))
-    return out
+        counted = _histogram(df, open_, bins, few_rows)
+        for (c, rank), found in list(ranks.items()):
+            if isinstance(found, _Range):
+                upto = found.below
+                for low, high, n in counted[found]:
+                    if rank < upto + n:
+                        ranks[c, rank] = _Range(c, low, high, upto, n)
+                        break
+                    upto += n
+
+    def quantile(c: str, p: float) -> float | None:
+        if not whole[c].rows:
+            return None
+        position = p * (whole[c].rows - 1)
+        lower, weight = int(position), position - int(position)
+        below, above = ranks[c, lower], ranks[c, min(lower + 1, whole[c].rows - 1)]
+        return below if weight == 0 or below == above else (1 - weight) * below + weight * above
+
+    row = tuple([quantile(c, p) for p in probabilities] for c in columns)
+    return df.sparkSession.createDataFrame([row], ", ".join(f"`{c}` array<double>" for c in columns))
+
+
+def _values(column: str) -> F.Column:
+    """The column as double, NaN as null."""
+    x = F.col(column).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def _extent(df: DataFrame, columns: list[str]) -> dict[str, _Range]:
+    row = df.agg(*[f(_values(c)).alias(f"{n}_{k}") for k, c in enumerate(columns) for n, f in (("low", F.min), ("high", F.max), ("rows", F.count))]).first()
+    return {c: _Range(c, *(v if v is not None else 0.0 for v in (row[f"low_{k}"], row[f"high_{k}"])), 0, row[f"rows_{k}"]) for k, c in enumerate(columns)}
+
+
+def _infinities(df: DataFrame, column: str, whole: _Range) -> _Range:
+    """The finite values of a column that has infinite ones: rows below them are minus infinity."""
+    x = _values(column)
+    finite = F.when(F.abs(x) < math.inf, x)
+    row = df.agg(F.min(finite), F.max(finite), F.count(finite), F.count_if(x == -math.inf)).first()
+    return _Range(column, row[0] or 0.0, row[1] or 0.0, row[3], row[2])
+
+
+def _finite(found: _Range, rank: int, finite: _Range) -> float | _Range:
+    if rank < finite.below:
+        return -math.inf
+    return finite if rank < finite.below + finite.rows else math.inf
+
+
+def _histogram(df: DataFrame, ranges: list[_Range], bins: int, few_rows: int) -> dict[_Range, list[tuple[float, float, int]]]:
+    """Smallest value, largest value and rows of each bin, in order; ranges of few rows have a bin per value."""
+
+    def entry(k: int, r: _Range) -> F.Column:
+        x = _values(r.column)
+        scale = 2.0 if math.isinf(r.high - r.low) else 1.0  # the width of the widest range is no number, half of it is
+        share = (x / scale - r.low / scale) / (r.high / scale - r.low / scale)
+        place = x if r.rows <= few_rows else F.floor(share * bins).cast("double")
+        return F.when(x.between(r.low, r.high), F.struct(F.lit(k).alias("k"), place.alias("bin"), x.alias("x")))
+
+    entries = F.array_compact(F.array(*[entry(k, r) for k, r in enumerate(ranges)]))
+    counted = df.select(F.explode(entries).alias("e")).groupBy("e.k", "e.bin")
+    rows = counted.agg(F.min("e.x").alias("low"), F.max("e.x").alias("high"), F.count("*").alias("n")).collect()
+    found: dict[_Range, list[tuple[float, float, int]]] = {r: [] for r in ranges}
+    for row in sorted(rows, key=lambda r: r.low):
+        found[ranges[row.k]].append((row.low, row.high, row.n))
+    return found

@@ -81,11 +81,10 @@ def iqr_fences(
     df: DataFrame,
     multiplier: float = IQR_MULTIPLIER,
     metrics: Seq[str] = METRICS,
-    rows: int | None = None,
 ) -> DataFrame:
     """Fences per metric: (metric, lower_fence, upper_fence)."""
     columns = present(df, metrics)
-    quartiles = exact_quantiles(df, columns, (0.25, 0.75), rows)
+    quartiles = exact_quantiles(df, columns, (0.25, 0.75))
 
     def fences(c: str) -> Column:
         q1, q3 = F.col(c)[0], F.col(c)[1]
@@ -121,10 +120,9 @@ def iqr_flags(
     df: DataFrame,
     multiplier: float = IQR_MULTIPLIER,
     metrics: Seq[str] = METRICS,
-    rows: int | None = None,
 ) -> DataFrame:
     """Add `<metric>_iqr_flag`: value strictly outside the fences."""
-    fences = iqr_fences(df, multiplier, metrics, rows).collect()  # one row per metric
+    fences = iqr_fences(df, multiplier, metrics).collect()  # one row per metric
 
     def flag(c: str, low: float | None, high: float | None) -> Column:
         return F.coalesce((F.col(c) < F.lit(low)) | (F.col(c) > F.lit(high)), F.lit(False))
@@ -197,7 +195,7 @@ def scan_anomalies(seq: Sequence, metrics: Seq[str] = METRICS, keep: Seq[str] =
     if not stored or (window, num_std) != (ROLLING_WINDOW, ROLLING_STDS):
         df = detect_rolling(seq, window, num_std, metrics).rows
     df = zscores(df, options.get("threshold", Z_THRESHOLD), metrics)
-    df = iqr_flags(df, options.get("multiplier", IQR_MULTIPLIER), metrics, seq.length)
+    df = iqr_flags(df, options.get("multiplier", IQR_MULTIPLIER), metrics)
     return vote(df, metrics, keep)
 
 

@@ -13,7 +13,7 @@ from gridpulse.functions.ranks import LOCAL_VALUES, average_ranks
 from gridpulse.functions.rounding import half_even, stable
 from gridpulse.functions.significance import correlation_p_value
 from gridpulse.operators.sequence import Sequence
-from gridpulse.schema import METRICS, WORKLOAD, present
+from gridpulse.schema import METRICS, ROW, WORKLOAD, present
 
 
 @dataclass(frozen=True)
@@ -104,6 +104,8 @@ def rank_table(seq: Sequence, pairs: Seq[Pair] = PAIRS, local_values: int = LOCA
     """
     usable = usable_pairs(seq.rows, pairs)
     used = sorted({c for _, p in usable for c in (p.x, p.y)})
+    if not usable:
+        return _with_workload(seq.rows).select(ROW, WORKLOAD)
     complete = seq.rows.agg(*[F.count(c).alias(c) for c in used]).first()
     if all(complete[c] == seq.length for c in used):
         variables = {c: F.col(c) for c in used}
@@ -207,6 +209,8 @@ def correlation_report(
     seq: Sequence, ranks: DataFrame | None = None, pairs: Seq[Pair] = PAIRS
 ) -> DataFrame:
     """One row per pair with both coefficients, labels and the per-workload map."""
+    if not usable_pairs(seq.rows, pairs):
+        return seq.rows.sparkSession.createDataFrame([], _REPORT)
     ranks = rank_table(seq, pairs) if ranks is None else ranks
     overall = describe_pairs(pair_correlations(seq, ranks, pairs), pairs)
     values = F.struct("pearson_r", "spearman_r")
@@ -223,6 +227,10 @@ def correlation_report(
 
 
 _VALUES = "struct<pearson_r:double,spearman_r:double>"
+_REPORT = (
+    f"{PAIR} int, pair string, x_col string, y_col string, pearson_r double, pearson_p double, spearman_r double, spearman_p double, "
+    f"strength string, direction string, interpretation string, by_workload map<string,{_VALUES}>"
+)
 
 
 def correlation_matrix(df: DataFrame, columns: Seq[str] = MATRIX_COLUMNS) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions.rounding import denoise, half_even, stable
 from gridpulse.operators.correlation import PAIR
-from gridpulse.schema import TS, WORKLOAD
+from gridpulse.schema import TS, WORKLOAD, complete
 
 # Off-peak hours, number of peak hours named, starvation share, order of severities.
 OFF_PEAK_HOURS = (22, 23, 0, 1, 2, 3, 4, 5)
@@ -129,7 +129,7 @@ def _training() -> list[Column]:
 
 
 def metric_inputs(metrics: DataFrame) -> DataFrame:
-    return metrics.agg(
+    return complete(metrics).agg(
         F.count(F.lit(1)).alias("total_rows"),
         denoise(F.avg("temperature")).alias("avg_temp"),
         F.max("temperature").alias("max_temp"),

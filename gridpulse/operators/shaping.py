@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence as Seq
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.operators.rules import RULE
@@ -31,11 +31,17 @@ LIMIT_LINES = {
 
 
 def apply_filters(df: DataFrame, workloads: Seq[str] = (), date_range: tuple | None = None) -> DataFrame:
-    """Keep the given workloads (none given: all) and timestamps in the closed range."""
+    """Keep the given workloads (none given: all) and timestamps in the closed range.
+
+    Tables laid out by day (a `date` column) are read for the days of the range only.
+    """
     if workloads:
         df = df.where(F.col(WORKLOAD).isin(*workloads))
     if date_range:
-        df = df.where(F.col(TS).between(*[F.lit(d).cast("timestamp_ntz") for d in date_range]))
+        first, last = (F.lit(d).cast("timestamp_ntz") for d in date_range)
+        df = df.where(F.col(TS).between(first, last))
+        if dict(df.dtypes).get("date") == "date":
+            df = df.where(F.col("date").between(F.to_date(first), F.to_date(last)))
     return df
 
 
@@ -95,6 +101,16 @@ def timeline(df: DataFrame, length: int, metrics: Seq[str]) -> DataFrame:
     return downsample(df, length).unpivot([TS], list(metrics), "metric", "value")
 
 
+def limit_lines(spark: SparkSession) -> DataFrame:
+    """(timeline, label, low, high): the limits drawn into the timelines; a line has low = high, a zone has not."""
+    rows = [
+        (name, label, *(map(float, at) if isinstance(at, tuple) else (float(at), float(at))))
+        for name, limits in LIMIT_LINES.items()
+        for label, at in limits.items()
+    ]
+    return spark.createDataFrame(rows, "timeline string, label string, low double, high double")
+
+
 def bottleneck_timeline(bottlenecks: DataFrame) -> DataFrame:
     """(timestamp, issue, severity, reason) with the rank severities are drawn in."""
     rank = F.array_position(F.array(*[F.lit(s) for s in SEVERITIES]), F.col("severity")).cast("int")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridpulse.functions.quantiles import exact_quantiles
 from gridpulse.functions.rounding import denoise, stable
 from gridpulse.operators.rules import RULE, RULES
-from gridpulse.schema import ROW, TS, WORKLOAD, present
+from gridpulse.schema import ROW, TS, WORKLOAD, complete, present
 
 # Display names, gauge limits (good, warn), severity levels.
 METRIC_LABELS = {
@@ -54,19 +54,37 @@ def top_hours(bottlenecks: DataFrame, k: int = 5) -> DataFrame:
     return _counts(bottlenecks, _hour()).orderBy(F.desc("event_count"), "hour").limit(k)
 
 
-def _as_map(counted: DataFrame, key: str) -> Column:
-    """A (key, event_count) table as one map value; empty when the table is."""
-    entries = F.map_from_entries(F.collect_list(F.struct(key, "event_count")))
-    return counted.agg(entries).scalar()
+def _count_by(cells: Column, key: str) -> Column:
+    """Counts summed by one key over an array of histogram cells: an array of (key, event_count)."""
+    keys = F.array_distinct(F.transform(cells, lambda c: c[key]))
+
+    def total(k: Column) -> Column:
+        own = F.filter(cells, lambda c: c[key].eqNullSafe(k))
+        return F.aggregate(own, F.lit(0).cast("long"), lambda n, c: n + c["event_count"])
+
+    return F.transform(keys, lambda k: F.struct(k.alias("key"), total(k).alias("event_count")))
+
+
+def _histogram(events: DataFrame, *keys: str | Column) -> DataFrame:
+    """One row with all cells of a histogram, which is small: issues, levels and hours are few."""
+    counted = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("event_count"))
+    return counted.agg(F.collect_list(F.struct("*")).alias("cells"))
+
+
+def _total(cells: Column) -> Column:
+    return F.aggregate(cells, F.lit(0).cast("long"), lambda n, c: n + c["event_count"])
 
 
 def bottleneck_summary(bottlenecks: DataFrame) -> DataFrame:
     """One row: total, by_type, by_severity, most_affected_hours; zero and empty maps without events."""
-    return bottlenecks.agg(F.count(F.lit(1)).alias("total")).select(
-        "total",
-        _as_map(bottlenecks_by_type(bottlenecks), "issue").alias("by_type"),
-        _as_map(_counts(bottlenecks, "severity"), "severity").alias("by_severity"),
-        _as_map(top_hours(bottlenecks), "hour").alias("most_affected_hours"),
+    cells = F.col("cells")
+    by_size = F.array_sort(F.transform(_count_by(cells, "hour"), lambda e: F.struct((-e["event_count"]).alias("less"), e["key"].alias("key"))))
+    top = F.transform(F.slice(by_size, 1, 5), lambda e: F.struct(e["key"].alias("key"), (-e["less"]).alias("event_count")))
+    return _histogram(bottlenecks, "issue", "severity", _hour()).select(
+        _total(cells).alias("total"),
+        F.map_from_entries(_count_by(cells, "issue")).alias("by_type"),
+        F.map_from_entries(_count_by(cells, "severity")).alias("by_severity"),
+        F.map_from_entries(top).alias("most_affected_hours"),
     )
 
 
@@ -125,12 +143,14 @@ def anomaly_totals(anomalies: DataFrame) -> DataFrame:
 
 def anomaly_summary(anomalies: DataFrame) -> DataFrame:
     """One row: totals and maps by metric, confidence and hour; empty maps without anomalies."""
-    return anomaly_totals(anomalies).select(
-        "total",
-        "confirmed",
-        _as_map(anomalies_by_metric(anomalies), "metric").alias("by_metric"),
-        _as_map(anomalies_by_confidence(anomalies), "confidence").alias("by_confidence"),
-        _as_map(anomalies_by_hour(anomalies), "hour").alias("hourly_distribution"),
+    cells = F.col("cells")
+    confirmed = F.filter(cells, lambda c: c["is_anomaly"])
+    return _histogram(anomalies, "metric", "confidence", "is_anomaly", _hour()).select(
+        _total(cells).alias("total"),
+        _total(confirmed).alias("confirmed"),
+        F.map_from_entries(_count_by(confirmed, "metric")).alias("by_metric"),
+        F.map_from_entries(_count_by(cells, "confidence")).alias("by_confidence"),
+        F.map_from_entries(_count_by(confirmed, "hour")).alias("hourly_distribution"),
     )
 
 
@@ -208,8 +228,11 @@ def distinct_workloads(metrics: DataFrame) -> DataFrame:
 
 
 def health_gauges(metrics: DataFrame) -> DataFrame:
-    """Mean against the gauge limits; power is scaled to at most 100."""
-    row = metrics.agg(*[F.avg(c).alias(c) for _, c, _, _ in GAUGES])
+    """Mean against the gauge limits; power is scaled to at most 100.  Metrics that do not exist have no gauge."""
+    gauges = [g for g in GAUGES if g[1] in metrics.columns]
+    if not gauges:
+        return metrics.sparkSession.createDataFrame([], "gauge string, value double, status string")
+    row = metrics.agg(*[F.avg(c).alias(c) for _, c, _, _ in gauges])
 
     def gauge(name: str, c: str, good: int, warn: int) -> Column:
         mean = denoise(F.col(c))
@@ -217,10 +240,10 @@ def health_gauges(metrics: DataFrame) -> DataFrame:
         status = F.when(value <= good, "good").when(value <= warn, "warn").otherwise("critical")
         return F.struct(F.lit(name).alias("gauge"), value.alias("value"), status.alias("status"))
 
-    return row.select(F.inline(F.array(*[gauge(*g) for g in GAUGES])))
+    return row.select(F.inline(F.array(*[gauge(*g) for g in gauges])))
 
 
-def describe_metrics(metrics: DataFrame, rows: int | None = None) -> DataFrame:
+def describe_metrics(metrics: DataFrame) -> DataFrame:
     """Count, mean, std, min, quartiles and max per metric."""
     columns = present(metrics)
     functions = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
@@ -232,7 +255,7 @@ def describe_metrics(metrics: DataFrame, rows: int | None = None) -> DataFrame:
             for s, f in functions.items()
         ]
     )
-    quartiles = exact_quantiles(metrics, columns, (0.25, 0.5, 0.75), rows).select(F.struct("*")).scalar()
+    quartiles = exact_quantiles(metrics, columns, (0.25, 0.5, 0.75)).select(F.struct("*")).scalar()
     names = {"q25": 0, "q50": 1, "q75": 2}
     row = row.withColumn("_q", quartiles).withColumns(
         {f"{q}_{c}": denoise(F.col(f"_q.{c}")[k]) for c in columns for q, k in names.items()}
@@ -269,7 +292,7 @@ def health_score(bottlenecks: DataFrame, anomalies: DataFrame) -> DataFrame:
 
 
 def report_header(metrics: DataFrame, bottlenecks: DataFrame, anomalies: DataFrame) -> DataFrame:
-    averages = metrics.agg(
+    averages = complete(metrics).agg(
         stable(F.avg("gpu_usage"), 1).alias("avg_gpu"),
         stable(F.avg("temperature"), 1).alias("avg_temp"),
         stable(F.avg("power_consumption"), 0).alias("avg_power"),

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.operators.anomalies import METRIC
 from gridpulse.operators.rules import RULE
 from gridpulse.plans.run import Run
-from gridpulse.schema import ROW
+from gridpulse.schema import ROW, complete
 
 TABLES = ("system_metrics", "bottlenecks", "anomalies")
 
@@ -19,7 +20,7 @@ def register_views(run: Run) -> None:
     """(Re)define the three tables for SQL.  `anomalies` holds confirmed rows only;
     flags are integers, so `is_anomaly = 1` works."""
     flags = ("zscore_flag", "iqr_flag", "rolling_flag", "is_anomaly")
-    run.metrics.rows.createOrReplaceTempView("system_metrics")
+    complete(run.metrics.rows).createOrReplaceTempView("system_metrics")
     run.bottlenecks.createOrReplaceTempView("bottlenecks")
     run.anomalies.where("is_anomaly").withColumns(
         {c: F.col(c).cast("int") for c in flags}
@@ -194,11 +195,11 @@ def run_query(run: Run, key: str) -> DataFrame:
 
 
 def run_sql(run: Run, text: str) -> DataFrame:
-    """Ad-hoc SQL over the three tables.  Only queries are accepted."""
-    statement = text.strip().rstrip(";").strip()
-    first_word = statement.split(None, 1)[0].upper() if statement else ""
-    if first_word not in ("SELECT", "WITH", "VALUES", "FROM", "TABLE", "("):
-        raise ValueError("only queries can be run here")
+    """Ad-hoc SQL over the three tables.  Only queries are accepted, comments and parentheses around them too."""
     register_views(run)
-    # As a subquery, anything that is not a query fails to parse, e.g. WITH … INSERT.
-    return run.metrics.rows.sparkSession.sql(f"SELECT * FROM (\n{statement}\n)")
+    statement = text.strip().rstrip(";").strip()
+    try:
+        # as a subquery, anything that is not a query fails to parse
+        return run.metrics.rows.sparkSession.sql(f"SELECT * FROM (\n{statement}\n)")
+    except ParseException as e:
+        raise ValueError("only queries can be run here") from e

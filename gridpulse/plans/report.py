@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 
 from gridpulse.operators import findings, summaries
 from gridpulse.plans.run import Run
+from gridpulse.workspace import store
 
 
 def report_tables(run: Run) -> dict[str, DataFrame]:
     """Everything a report shows, one small table per section."""
     metrics, bottlenecks, anomalies = run.metrics.rows, run.bottlenecks, run.anomalies
-    inputs = findings.finding_inputs(metrics, bottlenecks, anomalies)
+    inputs = store(findings.finding_inputs(metrics, bottlenecks, anomalies), "inputs")  # one row
     return {
         "header": summaries.report_header(metrics, bottlenecks, anomalies),
         "findings": findings.key_findings(inputs, run.correlations),

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 
 from gridpulse.operators import anomalies, cleaning, correlation, features, rules
 from gridpulse.operators.sequence import Sequence
-from gridpulse.schema import TS, present
+from gridpulse.schema import METRICS, TS, WORKLOAD, present
+from gridpulse.sources.metrics import ingest
 from gridpulse.workspace import store
 
 
@@ -33,9 +34,10 @@ class Run:
         """Ranks of the correlated metrics, prepared when first asked for."""
         return correlation.rank_table(self.metrics)
 
-    @property
+    @cached_property
     def correlations(self) -> DataFrame:
-        return correlation.correlation_report(self.metrics, self.ranks)
+        """One row per pair, computed and stored when first asked for."""
+        return store(correlation.correlation_report(self.metrics, self.ranks), "correlations")
 
 
 def prepare(raw: Sequence) -> Sequence:
@@ -60,9 +62,13 @@ def analyse(
     """Run the whole analysis over `raw`, storing each table once.
 
     `order` should end in a unique column; `keys` name the series when the input
-    holds several.  `keep` columns travel into the event tables.
+    holds several.  Keys and `keep` columns travel into the event tables.  Timestamps may be
+    text; NaN is a missing reading.  Other columns than these are left behind.
     """
-    ordered = Sequence.of(raw, order, keys)
+    keep = tuple(dict.fromkeys((*keys, *keep)))
+    raw = ingest(features.coerce_timestamp(raw))
+    wanted = dict.fromkeys([*keys, *order, *keep, TS, *METRICS, WORKLOAD])
+    ordered = Sequence.of(raw.select(*[c for c in wanted if c in raw.columns]), order, keys)
     prepared = prepare(ordered)
     metrics = prepared.with_rows(store(prepared.rows, "system_metrics"))
     return Run(

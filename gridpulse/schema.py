@@ -57,6 +57,13 @@ CLEANED_METRICS = _struct(
 
 SYSTEM_METRICS = _struct(*[(f.name, f.dataType) for f in CLEANED_METRICS], *FEATURES)
 
+
+
+def complete(df: DataFrame) -> DataFrame:
+    """`df` with a null column for every metric, category and feature that it does not have."""
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in SYSTEM_METRICS if f.name not in df.columns})
+
+
 BOTTLENECKS = _struct(
     (TS, T.TimestampNTZType()),
     ("issue", T.StringType()),
