@@ -239,25 +239,38 @@ def linked_groups(texts: DataFrame, size: int, similarity: int) -> tuple[DataFra
     return signed.select("id", "n_shingles"), labels
 
 
+def _groups(docs: DataFrame, texts: DataFrame, size: int, similarity: int) -> DataFrame:
+    """(key1, key2, n_shingles, component_id) of every distinct text; component_id is the smallest doc_id of its group."""
+    sizes, labels = linked_groups(texts, size, similarity)
+    named = texts.select("id", *KEYS).join(owners(docs), KEYS).join(sizes, "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    named = store(named.select(*KEYS, "n_shingles", "label", "first_id"), "groups")
+    smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    return named.join(smallest, "label").select(*KEYS, "n_shingles", "component_id")
+
+
+def _component() -> Column:
+    return F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 2, similarity: int = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id of its group), kept.
 
     Null ids are in groups, but name them only where no member has an id (component_id is null then, and all such members stay).
     Documents without words are alone.  Repeated rows with the smallest id of a group all stay: they are one document.
     """
-    texts = store_distinct(docs)
-    sizes, labels = linked_groups(texts, size, similarity)
-    named = texts.select("id", *KEYS).join(owners(docs), KEYS).join(sizes, "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    named = store(named.select(*KEYS, "n_shingles", "label", "first_id"), "groups")
-    smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    by_text = named.join(smallest, "label").select(*KEYS, "n_shingles", "component_id")
+    by_text = _groups(docs, store_distinct(docs), size, similarity)
     rows = docs.select("doc_id", *text_keys(F.col("text"))).join(by_text, KEYS)
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    return rows.select("doc_id", "n_shingles", component).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = rows.select("doc_id", "n_shingles", _component().alias("component_id"))
+    return named.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, similarity: int = SIMILARITY) -> DataFrame:
-    """One document of each group, columns unchanged: rows are matched to their group by text and id."""
-    columns = docs.columns
-    verdict = near_duplicates(docs, size, similarity).where("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(verdict, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti").select(*columns)
+    """The kept document of each group, columns unchanged; the rest of a row is dealt to its stored text."""
+    texts = store_distinct(docs)
+    by_text = _groups(docs, texts, size, similarity)
+    rest = F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("rest")
+    rows = docs.select("doc_id", rest, F.col("text").isNull().alias("none"), *text_keys(F.col("text"))).join(by_text, KEYS)
+    kept = rows.where(F.col("doc_id").eqNullSafe(_component())).select(*KEYS, "rest", "none")
+    both = texts.select(*KEYS, "text").join(kept.hint("shuffle_hash"), KEYS)
+    text = F.when(~F.col("none"), F.col("text")).alias("text")
+    return both.select(*[text if c == "text" else F.col("rest")[c].alias(c) for c in docs.columns])
