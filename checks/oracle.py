@@ -521,7 +521,7 @@ WHERE workload_type IN ('training', 'inference')
         "distinct_workloads": over("feat", "SELECT DISTINCT workload_type FROM feat"),
         "bottleneck_listing": over(
             "bn",
-            f"SELECT {MINUTE}, issue, severity, recommendation FROM "
+            f"SELECT {MINUTE}, issue, severity, reason, recommendation FROM "
             "(SELECT * FROM bn ORDER BY row_idx, rule_ord LIMIT 200)",
         ),
         "anomaly_listing": over(
@@ -530,7 +530,7 @@ WHERE workload_type IN ('training', 'inference')
             "(SELECT * FROM an WHERE is_anomaly ORDER BY row_idx, metric_ord LIMIT 200)",
         ),
         "detect_bottlenecks": over(
-            "bn", "SELECT event_id, timestamp, issue, severity, severity_icon, recommendation FROM bn"
+            "bn", "SELECT event_id, timestamp, issue, reason, severity, severity_icon, recommendation FROM bn"
         ),
         "bottleneck_reasons": over("bn", "SELECT event_id, issue, reason FROM bn"),
         "anomaly_zscore": over(
@@ -604,7 +604,7 @@ FROM (VALUES ('Critical'), ('Warning'), ('Medium')) s(severity) LEFT JOIN bn USI
         ),
         "bn_timeline": over(
             "bn",
-            "SELECT timestamp, issue, severity, "
+            "SELECT timestamp, issue, severity, reason, "
             "CASE severity WHEN 'Critical' THEN 1 WHEN 'Warning' THEN 2 ELSE 3 END::INTEGER AS severity_rank FROM bn",
         ),
         "issue_counts_row": over(

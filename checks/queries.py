@@ -260,12 +260,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             ).select(ID, TS, WORKLOAD, *METRICS)
         ),
         "distinct_workloads": _on_metrics(summaries.distinct_workloads),
-        "bottleneck_listing": _on_bottlenecks(lambda b: shaping.bottleneck_listing(b).drop("reason")),
+        "bottleneck_listing": _on_bottlenecks(lambda b: shaping.bottleneck_listing(b)),
         "anomaly_listing": _on_anomalies(shaping.anomaly_listing),
         # bottleneck rules
         **{f"rule_{r.id}": _rule(r) for r in rules.RULES},
         "detect_bottlenecks": _on_metrics(
-            lambda m: rules.scan_rules(m, keep=(ID,)).select(ID, *[c for c in BOTTLENECKS.names if c != "reason"])
+            lambda m: rules.scan_rules(m, keep=(ID,)).select(ID, *BOTTLENECKS.names)
         ),
         "bottleneck_reasons": _on_bottlenecks(lambda b: b.select(ID, "issue", "reason")),
         # anomaly methods
@@ -318,7 +318,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ).select(ID, "gpu_usage"),
         "analyse_text_input": _text_input,
         "bn_summary": _on_bottlenecks(lambda b: _maps_as_text(summaries.bottleneck_summary(b))),
-        "bn_timeline": _on_bottlenecks(lambda b: shaping.bottleneck_timeline(b).drop("reason")),
+        "bn_timeline": _on_bottlenecks(lambda b: shaping.bottleneck_timeline(b)),
         "issue_counts_row": _on_bottlenecks(summaries.issue_counts),
         "report_issue_levels": _on_bottlenecks(summaries.report_issue_levels),
         # anomaly summaries
