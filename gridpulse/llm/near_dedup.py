@@ -185,16 +185,20 @@ def _suspects(members: DataFrame, similarity: int) -> DataFrame:
 
 
 def _joining_links(members: DataFrame, similarity: int) -> DataFrame:
-    """(a, b): confirmed links between texts of different groups in a bucket, none that the others imply."""
+    """(a, b): confirmed links between texts of different groups in a bucket, none that the others imply.
+
+    A pair that shares several buckets is confirmed in the first of them only.
+    """
 
     def compare(table: pa.Table) -> pa.Table:
         ids, labels, sizes = (table[c].to_numpy() for c in ("id", "label", "n_shingles"))
         sketches = np.stack(table["sketch"].to_pylist()).astype(np.int64).view(np.uint64)
         sets = [np.asarray(s.values) for s in table["set"]]
+        bands, own = np.stack(table["bands"].to_pylist()), table["pos"][0].as_py()
         groups, links = _Groups(labels), []
         for i, j in _close_pairs(sketches, sizes, labels, similarity):
             x, y = int(labels[i]), int(labels[j])
-            if groups.find(x) == groups.find(y):
+            if groups.find(x) == groups.find(y) or np.argmax(bands[i] == bands[j]) != own:
                 continue
             shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
             if 100 * shared >= similarity * (len(sets[i]) + len(sets[j]) - shared) and groups.join(x, y):
@@ -208,7 +212,7 @@ def linked_groups(texts: DataFrame, size: int, similarity: int) -> tuple[DataFra
     """(id, n_shingles) of all distinct texts, and (id, label) of those in a group of several."""
     signed = store(signatures(texts, size), "signatures")
     full = signed.where("n_shingles > 0")
-    banded = full.select("id", F.posexplode("bands")).select(F.xxhash64("pos", "col").alias("key"), "id")
+    banded = full.select("id", F.posexplode("bands")).select(F.xxhash64("pos", "col").alias("key"), "pos", "id")
     shared = banded.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("head")).where("m > 1").drop("m")
     members = store(banded.join(shared, "key"), "members")
 
@@ -228,10 +232,10 @@ def linked_groups(texts: DataFrame, size: int, similarity: int) -> tuple[DataFra
     links = store(both.where(linked).select(F.col("id").alias("a"), F.col("head").alias("b")), "links")
 
     labels = components(links)
-    labelled = members.select("key", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    labelled = members.select("key", "pos", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    open_ = store(labelled.join(mixed, "key").join(sketch, "id"), "open_members")
-    suspects = store(_suspects(open_, similarity), "suspects")
+    open_ = store(labelled.join(mixed, "key").join(full.select("id", "n_shingles", "sketch", "bands"), "id"), "open_members")
+    suspects = store(_suspects(open_.drop("bands"), similarity), "suspects")
     more_sets = store(_full_sets(with_texts(texts, suspects.select("id").distinct()), size), "shingle_sets")
     more = store(_joining_links(open_.join(suspects, ["key", "id"]).join(more_sets, "id"), similarity), "links")
     if not more.isEmpty():
