@@ -6,7 +6,10 @@ suffixes, stored sorted and bucketed.  The new array is merge-scanned against ev
 join, without an exchange, as both sides are bucketed and sorted alike.  Fingerprints on both sides, or twice in the batch, are long matches.
 Then the array becomes a level; levels of equal size merge, so n batches leave about log2(n) levels and each suffix is rewritten about log2(n) times.
 
-Full strings are then compared where all anchors match, and every byte of one that starts anywhere else, too, goes.
+Strings with one anchor start one after the other: its territory.  Territories that are alike as a whole are settled by one hash, which is
+most of a long match.  Where an anchor's surroundings differ, each kind of surroundings is compared once: in pieces first, by what the strings of a
+piece share and by what they cover together, then, where only the former is repeated, string by string.
+Every byte of a string that starts anywhere else, too, goes.
 
 Scale: suffixes are sampled at one byte in about `length / 4`; hot strings are one index row whatever their number.  Texts are stored
 once and joined in place (see `texts`).
@@ -22,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.passages import BYTES, Passages, anchor_table, grouped, window_table
+from gridpulse.llm.passages import BYTES, Passages, anchor_table, grouped, piece_table, run_arrays, run_windows, territory_table
 from gridpulse.llm.texts import KEYS, owners, store_bucketed, store_distinct, text_keys, with_texts
 from gridpulse.llm.words import cover
 from gridpulse.workspace import store
@@ -39,8 +42,8 @@ class SuffixIndex:
         self.levels: list[tuple[int, DataFrame]] = []
 
     def _array(self, counts: DataFrame) -> DataFrame:
-        summed = counts.groupBy("gram").agg(F.sum("n").alias("n"))
-        return store_bucketed(summed.repartition(self.buckets, "gram"), ["gram"], self.buckets, "suffixes")
+        dealt = counts.repartition(self.buckets, "gram")  # counted per batch of texts before, so a hot gram is few rows
+        return store_bucketed(dealt.groupBy("gram").agg(F.sum("n").alias("n")), ["gram"], self.buckets, "suffixes")
 
     def add(self, anchors: DataFrame) -> DataFrame:
         """Take in a batch of anchors (gram, n); return the grams (`gram`) that it repeats, in itself or in earlier batches.
@@ -61,7 +64,7 @@ class SuffixIndex:
 
 
 def _cut(texts: DataFrame, length: int) -> DataFrame:
-    """(key1, key2, n_bytes, n_removed, n_spans, kept_sha256) of texts with the starts of their repeated strings."""
+    """(key1, key2, n_bytes, n_removed, n_spans, kept_sha256) of texts with the runs of their repeated strings."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -70,7 +73,8 @@ def _cut(texts: DataFrame, length: int) -> DataFrame:
                 removed = spans = 0
                 kept = text
                 if starts.is_valid:
-                    gone = cover(np.asarray(starts.values), length, len(text))
+                    first, n = run_arrays(starts)
+                    gone = cover(first, n - 1 + length, len(text))
                     removed, spans = int(gone.sum()), int((np.diff(np.r_[False, gone].astype(np.int8)) == 1).sum())
                     kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 out.append((len(text), removed, spans, hashlib.sha256(kept).hexdigest()))
@@ -78,11 +82,11 @@ def _cut(texts: DataFrame, length: int) -> DataFrame:
             columns = [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], [*KEYS, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return texts.select(*KEYS, "text", "starts").mapInArrow(batches, "key1 long, key2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return texts.select(*KEYS, "text", "runs").mapInArrow(batches, "key1 long, key2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def repeated_starts(texts: DataFrame, kind: Passages, batches: int = BATCHES) -> DataFrame:
-    """(id, start): the strings of each distinct text that also start elsewhere in the distinct texts."""
+def repeated_runs(texts: DataFrame, kind: Passages, batches: int = BATCHES) -> DataFrame:
+    """(id, start, n): runs of strings of each distinct text that also start elsewhere in the distinct texts."""
     anchors = store(anchor_table(texts, kind).withColumn("batch", F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int")), "anchors")
     index = SuffixIndex(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = [index.add(anchors.where(F.col("batch") == b).select("gram", "n")) for b in range(batches)]
@@ -91,9 +95,21 @@ def repeated_starts(texts: DataFrame, kind: Passages, batches: int = BATCHES) ->
         matches = matches.unionByName(more)
     matches = store(matches.distinct(), "matches")
     candidates = grouped(anchors.join(matches, "gram").select("id", "gram"), "gram", "grams")
-    windows = store(window_table(with_texts(texts, candidates), kind), "strings")
-    twice = windows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    return windows.join(twice, "hash").select("id", "start")
+    places = store(territory_table(with_texts(texts, candidates), kind), "territories")
+    classes = places.groupBy("gram", "hash").agg(F.count("*").alias("alike"), F.min(F.struct("id", "start", "n", "at")).alias("one"))
+    classes = store(classes, "territory_classes")
+    settled = places.join(classes.where("alike > 1").select("hash", "gram"), ["hash", "gram"]).select("id", "start", "n")
+    unsettled = classes.where("alike = 1").select("gram").distinct()
+    compared = classes.join(unsettled, "gram").select("one.*").withColumn("run", F.struct("start", "n", "at"))
+    pieces = store(piece_table(with_texts(texts, grouped(compared, "run", "runs")), kind), "pieces")
+    kinds = pieces.groupBy("hash", "whole").agg(F.count("*").alias("alike"), F.min(F.struct("id", "start", "n")).alias("one"))
+    kinds = store(kinds, "piece_kinds")
+    pieces = pieces.join(kinds.where("alike > 1").select("hash", "whole"), ["hash", "whole"]).select("id", "start", "n")
+    differing = kinds.groupBy("hash").agg(F.count("*").alias("kinds"), F.min("alike").alias("least")).where("kinds > 1 and least = 1")
+    close = kinds.join(differing.select("hash"), "hash").select("one.*").withColumn("run", F.struct("start", "n"))
+    windows = store(run_windows(with_texts(texts, grouped(close, "run", "runs")), kind), "strings")
+    twice = windows.groupBy("hash").agg(F.count("*").alias("m")).where("m > 1").select("hash")
+    return settled.unionByName(pieces).unionByName(windows.join(twice, "hash").select("id", "start", F.lit(1).alias("n")))
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
@@ -104,8 +120,8 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES)
     """
     kind = Passages(*BYTES, length)
     texts = store_distinct(docs)
-    starts = grouped(repeated_starts(texts, kind, batches), "start", "starts")
-    results = store(_cut(with_texts(texts, starts, "left"), length).join(owners(docs), KEYS), "cut")
+    runs = grouped(repeated_runs(texts, kind, batches).withColumn("run", F.struct("start", "n")), "run", "runs")
+    results = store(_cut(with_texts(texts, runs, "left"), length).join(owners(docs), KEYS), "cut")
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     results = results.select(
         *KEYS,

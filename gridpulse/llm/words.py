@@ -23,7 +23,16 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+class _Powers(dict):
+    """A cache of powers by base; it travels empty."""
+
+    def __reduce__(self):
+        return _Powers, ()
+
+
+_powers = _Powers()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -109,8 +118,8 @@ def windows(values: np.ndarray, base: int, bounds: np.ndarray, length: int) -> t
     return starts, span_hashes(values, base, starts, starts + length)
 
 
-def cover(starts: np.ndarray, length: int, n: int) -> np.ndarray:
-    """Which of n positions lie in a run of `length` from one of the starts."""
+def cover(starts: np.ndarray, length: int | np.ndarray, n: int) -> np.ndarray:
+    """Which of n positions lie in a run of `length` (one for all, or one each) from one of the starts."""
     edge = np.zeros(n + 1, np.int32)
     np.add.at(edge, starts, 1)
     np.add.at(edge, np.minimum(starts + length, n), -1)
