@@ -7,7 +7,8 @@ a probability.  Whole texts are compressed, one at a time, inside Arrow batches;
 
 The model is fitted on a bounded sample: per label at most `SAMPLE_ROWS` labelled texts, chosen by a hash of the
 document's id, hence the same at every run.  Its size and the dictionaries' do not grow with
-the corpus, so both travel to the executors with the function.
+the corpus, so both travel to the executors with the function.  In the curve each label weighs as it does
+among all labelled texts, so a score means the same whether or not the sample holds them all.
 """
 
 from __future__ import annotations
@@ -65,14 +66,14 @@ def _dictionary(texts: list[bytes]) -> bytes:
         return b"\n".join(texts)[:DICTIONARY_BYTES]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Ridge-penalised logistic weights by Newton's method."""
+def _logistic(x: np.ndarray, y: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Ridge-penalised logistic weights by Newton's method; each row counts as often as `counts` says."""
     x = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(x.shape[1])
     for _ in range(STEPS):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag([1e-6] + [1e-2] * (x.shape[1] - 1))
-        w = w + np.linalg.solve(hessian, x.T @ (y - p) - np.r_[0, 1e-2 * w[1:]])
+        hessian = (x * (counts * p * (1 - p))[:, None]).T @ x + np.diag([1e-6] + [1e-2] * (x.shape[1] - 1))
+        w = w + np.linalg.solve(hessian, x.T @ (counts * (y - p)) - np.r_[0, 1e-2 * w[1:]])
     return w
 
 
@@ -91,6 +92,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         .groupBy("doc_id")
         .agg(F.min("quality").cast("int").alias("quality"))
     )
+    everyone = dict(graded.groupBy("quality").count().collect())
     turn = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = graded.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= sample_rows)
     ids = chosen.select("doc_id", "quality", "turn")
@@ -108,11 +110,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     good, bad = _dictionary(order[1, 0]), _dictionary(order[0, 0])
     held = order[0, 1] + order[1, 1]
     y = np.r_[np.zeros(len(order[0, 1])), np.ones(len(order[1, 1]))]
+    # a label's texts in the table: all its ids, as far as the chosen ones were found
+    present = [everyone.get(q, 0) * (len(order[q, 0]) + len(order[q, 1])) / max(1, min(everyone.get(q, 0), sample_rows)) for q in (0, 1)]
+    counts = np.concatenate([np.full(len(order[q, 1]), present[q] / max(1, len(order[q, 1]))) for q in (0, 1)])
     if not len(y):
         return Model(good, bad, (0.0, 0.0, 0.0), (0.0, 0.0), (1.0, 1.0))
     x = _evidence(held, good, bad)
     centre, spread = x.mean(0), x.std(0) + 1e-9
-    return Model(good, bad, tuple(_logistic((x - centre) / spread, y)), tuple(centre), tuple(spread))
+    return Model(good, bad, tuple(_logistic((x - centre) / spread, y, counts / counts.mean())), tuple(centre), tuple(spread))
 
 
 def score(docs: DataFrame, model: Model, column: str = "quality_score") -> DataFrame:
