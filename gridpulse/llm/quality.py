@@ -5,8 +5,8 @@ bad one.  The difference of the two compressed sizes, divided by their sum, is t
 logistic curve fitted on labelled texts that went into neither dictionary turns it into
 a probability.  Whole texts are compressed, one at a time, inside Arrow batches; nothing is shuffled.
 
-The model is fitted on a bounded sample: per label at most `SAMPLE_ROWS` labelled texts, chosen by a hash of the
-document's id, hence the same at every run.  Its size and the dictionaries' do not grow with
+The model is fitted on a bounded sample: per label at most `SAMPLE_ROWS` labelled texts, and of these the first that
+fit into `SAMPLE_BYTES`, chosen by a hash of the document's id, hence the same at every run and in every order of the rows.  Its size and the dictionaries' do not grow with
 the corpus, so both travel to the executors with the function.  In the curve each label weighs as it does
 among all labelled texts, so a score means the same whether or not the sample holds them all.
 """
@@ -23,9 +23,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridpulse.workspace import store
+
 SAMPLE_ROWS = 2000
 SAMPLE_BYTES = 16 << 20
 DICTIONARY_BYTES = 110 << 10
+#: A text gives at most so small a part of its label's and half's bytes to the sample, so these are at least so many texts.
+TEXTS = 16
 LEVEL = 9
 THRESHOLD = 0.3
 #: Steps of Newton's method for the two-weight logistic curve; it settles in fewer.
@@ -82,6 +86,40 @@ def learnable(doc_id) -> F.Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "utf-8")) % 5 != 0, F.lit(False))
 
 
+def _first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each (quality, turn) in the task."""
+    seen = set()
+    for batch in batches:
+        keep = []
+        for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            keep.append(pair not in seen)
+            seen.add(pair)
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
+def _sampled(docs: DataFrame, ids: DataFrame) -> tuple[dict[int, int], list[tuple[int, int, bytes]]]:
+    """How many of `ids` (doc_id, quality, turn) have a text, by quality, and (quality, turn, text) of those to learn from, by turn.
+
+    Of different texts of one id that with the smallest hash counts, once.  In the order of turns, the first that fit into a quarter of SAMPLE_BYTES
+    are learned from, for each label and half; a text gives no more than its first 1 / TEXTS of that.
+    """
+    room = SAMPLE_BYTES // 4
+    share = room // TEXTS
+    texts = docs.select("doc_id", F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("raw"))
+    hashed = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "quality", "turn", F.xxhash64("raw").alias("hash"), F.least(F.octet_length("raw"), F.lit(share)).cast("long").alias("size"))
+    # of equal hashes the longer size is reckoned with
+    one = hashed.groupBy("doc_id", "quality", "turn", "hash").agg(F.max("size").alias("size"))
+    least = one.groupBy("doc_id", "quality", "turn").agg(F.min_by(F.struct("hash", "size"), "hash").alias("text"))
+    before = Window.partitionBy("quality", F.col("turn") % 2).orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
+    marked = store(least.select("doc_id", "quality", "turn", "text.hash", F.sum("text.size").over(before).alias("upto")), "quality_sample")
+    found = dict(marked.groupBy("quality").count().collect())
+    kept = marked.where(F.col("upto") <= room).select("doc_id", "quality", "turn", "hash")
+    cut = texts.join(F.broadcast(kept), "doc_id").where(F.xxhash64("raw") == F.col("hash")).select("quality", "turn", F.substring("raw", 1, share).alias("raw"))
+    # rows that repeat a text are dropped inside each task first
+    once = cut.mapInArrow(_first_seen, "quality int, turn int, raw binary").groupBy("quality", "turn").agg(F.min("raw").alias("raw"))
+    return found, sorted((r.quality, r.turn, bytes(r.raw)) for r in once.collect())
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from labelled documents; an id labelled more than once counts as bad if any label says so.
 
@@ -95,23 +133,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     everyone = dict(graded.groupBy("quality").count().collect())
     turn = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = graded.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= sample_rows)
-    ids = chosen.select("doc_id", "quality", "turn")
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    # `ids` has two times sample_rows rows at most
-    found = texts.join(F.broadcast(ids), "doc_id").select("quality", "turn", "text").toLocalIterator()
-    kept: dict[tuple[int, int], list[tuple[int, bytes]]] = {(q, h): [] for q in (0, 1) for h in (0, 1)}
-    room = {k: SAMPLE_BYTES // 4 for k in kept}
-    for quality, turn_, text in found:
-        raw = text.encode()
-        if (room_left := room[quality, turn_ % 2]) > 0:
-            room[quality, turn_ % 2] = room_left - len(raw)
-            kept[quality, turn_ % 2].append((turn_, raw))
-    order = {k: [t for _, t in sorted(v)] for k, v in kept.items()}
+    found, texts = _sampled(docs, store(chosen.select("doc_id", "quality", "turn"), "quality_ids"))
+    order: dict[tuple[int, int], list[bytes]] = {(q, h): [] for q in (0, 1) for h in (0, 1)}
+    for quality, turn_, raw in texts:
+        order[quality, turn_ % 2].append(raw)
     good, bad = _dictionary(order[1, 0]), _dictionary(order[0, 0])
     held = order[0, 1] + order[1, 1]
     y = np.r_[np.zeros(len(order[0, 1])), np.ones(len(order[1, 1]))]
     # a label's texts in the table: all its ids, as far as the chosen ones were found
-    present = [everyone.get(q, 0) * (len(order[q, 0]) + len(order[q, 1])) / max(1, min(everyone.get(q, 0), sample_rows)) for q in (0, 1)]
+    present = [everyone.get(q, 0) * found.get(q, 0) / max(1, min(everyone.get(q, 0), sample_rows)) for q in (0, 1)]
     counts = np.concatenate([np.full(len(order[q, 1]), present[q] / max(1, len(order[q, 1]))) for q in (0, 1)])
     if not len(y):
         return Model(good, bad, (0.0, 0.0, 0.0), (0.0, 0.0), (1.0, 1.0))
