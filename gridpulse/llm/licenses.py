@@ -1,19 +1,25 @@
 """License scan: sparse TF-IDF cosine to license templates, then inheritance from the nearest directory above.
 
-Every sentence, every line and every whole text is compared with the templates below.  Term weights are inverse document frequencies
-over all documents; terms of no template weigh as if no document had them.  A sentence or line that is close enough to a template is a
-*header* and licenses its document; a whole text that is, is a *license file* and licenses its directory too.
+Every sentence, every line, every window of up to `WINDOW_LINES` consecutive lines and every whole text is compared with the notices below; every
+whole text also with the license texts in `license_texts`.  Term weights are inverse document frequencies
+over all documents; terms of no template weigh as if no document had them.  A sentence, line or window that is close enough to a notice is a
+*header* and licenses its document; a whole text that is close to a notice or a license text is a *license file* and licenses its directory too.
+Comment marks are no terms, and lines without terms do not count, so a notice may be wrapped and commented out.
+
+There are license texts of Apache, MIT, ISC, BSD (two and three clauses), GPL, LGPL, MPL, CC0, Artistic and GFDL.  That of AGPL-3.0 is derived
+from GPL-3.0 by its name.  The CC BY family has notices only.
 
 A document without a license of its own takes that of the nearest directory above it that has a license file: its path is cut
 into its directories, these are joined with the licensed directories, and the deepest match wins.
 
 Scale: documents are scanned twice (weights, then matches) and not shuffled.  Only paths are: one row per document and directory level, joined by
-directory; licensed directories are summed to one row each before.  Most segments are left out by one vectorised bound on their cosine.
+directory; licensed directories are summed to one row each before.  Most segments are left out by vectorised bounds on their cosine.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +30,8 @@ from gridpulse.llm.decontamination import SEPARATOR
 from gridpulse.llm.words import LOWER, slices, word_hashes, words
 
 LEAST_COSINE = 0.6
+#: The most lines that a wrapped notice is looked for in.
+WINDOW_LINES = 6
 
 #: Names of licenses and the notices by which they are stated, one template per notice.
 TEMPLATES = (
@@ -50,6 +58,15 @@ TEMPLATES = (
 )
 
 
+def license_texts() -> tuple[tuple[str, str], ...]:
+    """(name, text) of whole licenses, read where the plan is built."""
+    found = {p.stem: p.read_text(encoding="utf-8") for p in sorted(Path(__file__).with_name("license_texts").glob("*.txt"))}
+    agpl = found["GPL-3.0"]
+    for old, new in (("GNU GENERAL PUBLIC", "GNU AFFERO GENERAL PUBLIC"), ("GNU General Public", "GNU Affero General Public"), ("GNU GPL", "GNU AGPL")):
+        agpl = agpl.replace(old, new)
+    return (*found.items(), ("AGPL-3.0", agpl))
+
+
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Term hashes, where each text's begin, and for each term its line and its sentence (numbers that only rise)."""
     lowered = LOWER[data]
@@ -63,6 +80,12 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return word_hashes(lowered, begin, end), bounds, line, sentence
 
 
+def _places(terms: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Position of each hash in the sorted terms, -1 where it is none."""
+    at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
+    return np.where(terms[at] == hashes, at, -1)
+
+
 class Templates:
     """The templates as sparse vectors over their own terms."""
 
@@ -76,60 +99,79 @@ class Templates:
         self.weights, self.other = np.ones(len(self.terms)), 1.0
 
     def weigh(self, documents: int, having: dict[int, int]) -> None:
-        """Set term weights from document frequencies (by position of the term)."""
-        df = np.array([having.get(k, 0) for k in range(len(self.terms))])
+        """Set term weights from document frequencies (by the term's hash)."""
+        df = np.array([having.get(t, 0) for t in self.terms.tolist()])
         self.weights, self.other = np.log((documents + 2) / (df + 1)), float(np.log(documents + 2))
 
     def places(self, hashes: np.ndarray) -> np.ndarray:
         """Position of each term among the templates' terms, -1 for others."""
-        at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
-        return np.where(self.terms[at] == hashes, at, -1)
+        return _places(self.terms, hashes)
+
+    def best(self, places: np.ndarray, segment: np.ndarray, n: int, least: float, width: int = 1, owner: np.ndarray | None = None) -> Iterator[tuple[int, float, str]]:
+        """(segment, cosine, name) of the segments close enough to a template; segments are numbered 0 … n-1.
 
-    def best(self, places: np.ndarray, segment: np.ndarray, n: int, least: float) -> Iterator[tuple[int, float, str]]:
-        """(segment, cosine, name) of the segments close enough to a template; segments are numbered 0 … n-1."""
+        With a width, of `width` segments in a row that have the same owner, named by the first.
+        """
         known = places >= 0
         squares = np.bincount(segment[known], weights=self.weights[places[known]] ** 2, minlength=n)
         others = np.bincount(segment[~known], minlength=n) * self.other**2
+        terms = np.bincount(segment[known], minlength=n)
+        first = np.arange(n)
+        if width > 1:
+            if n < width:
+                return
+            squares, others, terms = (np.diff(np.r_[0, np.cumsum(c)][np.add.outer(first[: n - width + 1], (0, width))], axis=1)[:, 0] for c in (squares, others, terms))
+            first = first[: n - width + 1][owner[: n - width + 1] == owner[width - 1 :]]
+            squares, others, terms = squares[first], others[first], terms[first]
         # repeated known terms weigh more than their squares: their true part is largest if all of them are one term
-        terms = np.maximum(np.bincount(segment[known], minlength=n), 1)
-        hopeful = np.flatnonzero(squares * terms >= least**2 * (squares * terms + others))
+        most = squares * np.maximum(terms, 1)
+        hopeful = np.flatnonzero((squares > 1e-9) & (most >= least**2 * (most + others) * (1 - 1e-9)))
         vectors = self.counts * self.weights
         norms = np.linalg.norm(vectors, axis=1)
-        for s in hopeful[squares[hopeful] > 0]:
-            a, b = np.searchsorted(segment, [s, s + 1])
+        for s in first[hopeful]:
+            a, b = np.searchsorted(segment, [s, s + width])
             own = places[a:b]
             v = np.bincount(own[own >= 0], minlength=len(self.terms)) * self.weights
-            cosine = vectors @ v / (norms * np.sqrt(v @ v + others[s]) + 1e-12)
+            unknown = np.count_nonzero(own < 0) * self.other**2
+            # the part along known terms bounds every cosine
+            inside = v @ v
+            if inside < least**2 * (inside + unknown):
+                continue
+            cosine = vectors @ v / (norms * np.sqrt(inside + unknown) + 1e-12)
             k = int(np.argmax(cosine))
             if cosine[k] >= least:
                 yield int(s), float(cosine[k]), self.names[k]
 
 
-def fitted(docs: DataFrame, templates=TEMPLATES) -> Templates:
-    """Templates weighed by the document frequencies of their terms over all documents."""
-    model = Templates(templates)
+def fitted(docs: DataFrame, templates=TEMPLATES) -> tuple[Templates, Templates]:
+    """Notices and license texts, weighed by the document frequencies of their terms over all documents."""
+    model = Templates(templates), Templates(license_texts())
+    terms = np.union1d(*(m.terms for m in model))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(model.terms), np.int64)
+        total = np.zeros(len(terms), np.int64)
         for batch in batches:
             for _, data, offsets in slices(batch.column(0)):
                 hashes, bounds, _, _ = _tokens(data, offsets)
-                place = model.places(hashes)
+                place = _places(terms, hashes)
                 text = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
-                pairs = np.unique(text[place >= 0] * len(model.terms) + place[place >= 0])
-                total += np.bincount(pairs % len(model.terms), minlength=len(model.terms))
+                pairs = np.unique(text[place >= 0] * len(terms) + place[place >= 0])
+                total += np.bincount(pairs % len(terms), minlength=len(terms))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["term", "n"])
 
     rows = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    model.weigh(docs.count(), {r.term: r.n for r in rows})
+    documents, having = docs.count(), {int(terms[r.term]): r.n for r in rows}
+    for m in model:
+        m.weigh(documents, having)
     return model
 
 
-def own_licenses(docs: DataFrame, model: Templates, least: float = LEAST_COSINE) -> DataFrame:
+def own_licenses(docs: DataFrame, model: tuple[Templates, Templates], least: float = LEAST_COSINE) -> DataFrame:
     """(doc_id, path, license, cosine, origin) of all documents: the best match of any of their segments, null without one.
 
     `origin` is "file" where the whole text is a license, otherwise "header".  Of equal matches the earlier template counts.
     """
+    notices, whole = model
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,25 +179,29 @@ def own_licenses(docs: DataFrame, model: Templates, least: float = LEAST_COSINE)
             found: list = [(None, None, None)] * batch.num_rows
             for first, data, offsets in slices(batch.column(2)):
                 hashes, bounds, line, sentence = _tokens(data, offsets)
-                place = model.places(hashes)
-                text = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
-                for origin, segment in (("header", sentence), ("header", line), ("file", None)):
-                    if segment is None:
-                        number, owner = text, np.arange(len(offsets) - 1)
-                    else:
-                        heads = np.r_[True, (np.diff(segment) != 0) | (np.diff(text) != 0)][: len(text)]
-                        number, owner = np.cumsum(heads) - 1, text[heads]
-                    for s, cosine, name in model.best(place, number, len(owner), least):
-                        at = first + int(owner[s])
-                        if origin == "file" or found[at][1] is None or cosine > found[at][1]:
-                            found[at] = (name, cosine, origin)
+                place = notices.places(hashes)
+                n = len(offsets) - 1
+                text = np.repeat(np.arange(n), np.diff(bounds))
+                matches = []
+                for width, segment in ((1, sentence), *((w, line) for w in range(1, WINDOW_LINES + 1))):
+                    heads = np.r_[True, (np.diff(segment) != 0) | (np.diff(text) != 0)][: len(text)]
+                    owner = text[heads]
+                    for s, cosine, name in notices.best(place, np.cumsum(heads) - 1, len(owner), least, width, owner):
+                        matches.append(("header", owner[s], cosine, name))
+                for templates, places in ((notices, place), (whole, whole.places(hashes))):
+                    for s, cosine, name in templates.best(places, text, n, least):
+                        matches.append(("file", s, cosine, name))
+                for origin, s, cosine, name in matches:
+                    at = first + int(s)
+                    if found[at][1] is None or (origin, found[at][2]) == ("file", "header") or cosine > found[at][1]:
+                        found[at] = (name, cosine, origin)
             columns = [pa.array(c, t) for c, t in zip(zip(*found) if found else ((), (), ()), (pa.string(), pa.float64(), pa.string()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["doc_id", "path", "license", "cosine", "origin"])
 
     return docs.select("doc_id", F.col("path").cast("string"), "text").mapInArrow(batches, f"doc_id {kind}, path string, license string, cosine double, origin string")
 
 
-def licenses(docs: DataFrame, model: Templates, least: float = LEAST_COSINE) -> DataFrame:
+def licenses(docs: DataFrame, model: tuple[Templates, Templates], least: float = LEAST_COSINE) -> DataFrame:
     """`own_licenses` with inheritance: origin "inherited" and the directory in `directory` where a document has none of its own.
 
     Paths are split at "/"; a null path has no directory.  Of several license files in one directory the closest match counts,
