@@ -11,6 +11,7 @@ characters.  A block travels to the executors with the function, so documents ar
 one pass over the documents per block.  Only (document, item) pairs whose shared seeds can reach the coverage are tiled.
 
 Items of fewer than `MIN_MATCH` tokens have no seed and are never reported.  Null texts count as empty.
+Items with a null id are searched like all others and reported with a null item_id; each of their distinct texts is one item.
 """
 
 from __future__ import annotations
@@ -85,7 +86,7 @@ def tile(pairs_item: np.ndarray, pairs_doc: np.ndarray, min_match: int) -> list[
 class _Items:
     """The seeds of one block of test items, ready to be looked up."""
 
-    def __init__(self, ids: list[int], texts: list[bytes], min_match: int):
+    def __init__(self, ids: list[int | None], texts: list[bytes], min_match: int):
         data = np.frombuffer(b"".join(texts), np.uint8)
         offsets = np.cumsum([0, *map(len, texts)])
         hashes, bounds = tokens(data, offsets)
@@ -128,7 +129,7 @@ class _Items:
 
 def _blocks(benchmark: DataFrame, min_match: int) -> Iterator[_Items]:
     """The items in blocks by a hash of their content, each about BLOCK_CHARS long; equal rows are one item."""
-    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text").distinct()
+    items = benchmark.where(F.col("text").isNotNull()).select("item_id", "text").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = math.ceil(total / BLOCK_CHARS)
     for k in range(n):
