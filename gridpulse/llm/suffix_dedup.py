@@ -1,10 +1,11 @@
-"""Dedup of repeated byte strings with a logarithmic family of suffix arrays.
+"""Dedup of repeated byte strings by fingerprints of sampled suffixes, kept in merged levels.
 
-Texts arrive in batches.  A batch's suffix array holds its sampled suffixes (the anchors of `passages`: every string of
-`length` bytes has one) in the order of a fingerprint of their first `length / 2` bytes, one row per fingerprint with the number of
-suffixes, stored sorted and bucketed.  The new array is merge-scanned against every level of the index: Spark's sort-merge
-join, without an exchange, as both sides are bucketed and sorted alike.  Fingerprints on both sides, or twice in the batch, are long matches.
-Then the array becomes a level; levels of equal size merge, so n batches leave about log2(n) levels and each suffix is rewritten about log2(n) times.
+This stands in for a logarithmic family of suffix arrays.  Texts arrive in `BATCHES` batches, four at every size.  A batch's table holds its sampled
+suffixes (the anchors of `passages`: every string of `length` bytes has one) as fingerprints of their first `length / 2` bytes, one row per
+fingerprint with the number of suffixes, bucketed; it has neither positions nor suffix order nor match lengths.  The new table is joined with every
+level of the index by Spark's sort-merge join, without an exchange, as both sides are bucketed alike.  Fingerprints on both sides, or twice in
+the batch, are candidates, the same as one count by fingerprint would give.  Then the table becomes a level; levels of equal size merge, which with four
+batches happens once.  The matches themselves are found by what follows.
 
 Strings with one anchor start one after the other: its territory.  Territories that are alike as a whole are settled by one hash, which is
 most of a long match.  Where an anchor's surroundings differ, each kind of surroundings is compared once: in pieces first, by what the strings of a
@@ -35,7 +36,7 @@ BATCHES = 4
 
 
 class SuffixIndex:
-    """Levels of suffix arrays: (rank, table of (gram, n)); rank r holds 2**r batches."""
+    """Levels of fingerprints of suffixes: (rank, table of (gram, n)); rank r holds 2**r batches."""
 
     def __init__(self, buckets: int):
         self.buckets = buckets
