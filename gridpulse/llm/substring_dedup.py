@@ -1,8 +1,9 @@
-"""Substring dedup by level-wise doubling over words.
+"""Substring dedup by one doubling over words.
 
 Level one looks at windows of half the length, and only at sampled ones (see `passages`).  Those that occur in one text alone end
 there.  Where they are repeated, level two looks at all windows of twice that length, the full one; these are compared exactly, by 64-bit
 hashes, and every word of one that also starts in a document with a smaller id goes.  Candidates that survive no level cost nothing further.
+There are these two levels whatever the length; shorter lengths are not looped over, and nothing is lost by it, as equal windows have equal anchors.
 
 Scale: every distinct text is stored once and joined in place (see `texts`).  What is shuffled are sampled windows, one in about `length / 4`
 words, and the full windows of repeated stretches.  Counts are summed before the shuffle; joins on a hot window are
