@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import decontamination, fingerprints, language_model, licenses, mixing, near_dedup, quality, secrets, substring_dedup, suffix_dedup
+from gridpulse.llm import (
+    conversation_repair,
+    decontamination,
+    fingerprints,
+    language_model,
+    licenses,
+    mixing,
+    near_dedup,
+    packing,
+    quality,
+    secrets,
+    substring_dedup,
+    suffix_dedup,
+    token_alignment,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +75,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(_table(spark, sf_dir, "documents"))
+
+
+def op12_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
+def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damaged_and_repaired(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -73,6 +99,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeated_windows": op8_repeated_windows,
         "op9_quality_scores": op9_quality_scores,
         "op10_near_duplicates": op10_near_duplicates,
+        "op11_align_tokens": op11_align_tokens,
+        "op12_pack_sequences": op12_pack_sequences,
+        "op13_repair_conversations": op13_repair_conversations,
     }
 
 
