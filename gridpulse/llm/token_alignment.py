@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.llm.texts import KEYS, text_keys
-from gridpulse.llm.tokens import Remembered, chunks, public_path, tokenizer
+from gridpulse.llm.tokens import JOINED, Remembered, chunks, public_path, safe_end, tokenizer
 from gridpulse.workspace import store
 
 #: Bytes of texts (in characters) whose pairs are counted together.
-BLOCK_BYTES = 1 << 23
+BLOCK_BYTES = 1 << 22
 
 #: A text of more than 1 / HOT_SHARE of the documents is joined by broadcast.
 HOT_SHARE = 1000
@@ -112,7 +112,7 @@ class Aligner:
         self.a, self.b = byte_level(path_a), pieces(path_b)
         self.lengths = [np.array([len(x) for x in v.bytes]) for v in (self.a, self.b)]
         self.digits = _Digits(max(len(self.a.bytes), len(self.b.bytes)))
-        self.remembered = Remembered(self._aligned)
+        self.remembered = Remembered(self._aligned, JOINED)
 
     def texts(self, texts: list[str]) -> Iterator[tuple[tuple[int, ...], np.ndarray, str] | None]:
         """For each text its numbers, the pairs of its links and the hash of its groups, or None if it has no tokens."""
@@ -127,18 +127,25 @@ class Aligner:
             groups = b"".join([f.groups for f in found])
             yield numbers, np.concatenate([f.pairs for f in found]), sha256(groups[:-1]).hexdigest()
 
+    def _tokens(self, texts: list[str]) -> list[list[int]] | None:
+        """Ids of one text by both tokenizers, if both give it back."""
+        ids = [v.encode(texts)[0] for v in (self.a, self.b)]
+        want = (" " + texts[0]).encode()
+        return ids if all(b"".join([v.bytes[t] for t in own]) == want for v, own in zip((self.a, self.b), ids)) else None
+
     def _aligned(self, new: list[str]) -> list[_Chunk]:
         """All new chunks laid end to end and aligned at once: both tokenizers end a token at every chunk's end."""
-        if not new:
-            return []
-        whole = [(" " + c).encode() for c in new]
-        ids = [self.a.encode(new), self.b.encode(new)]
-        good = [all(b"".join([v.bytes[t] for t in own[k]]) == w for v, own in zip((self.a, self.b), ids)) for k, w in enumerate(whole)]
-        kept = [k for k, g in enumerate(good) if g]
         out = [_Chunk(None, np.empty(0, np.int64), b"")] * len(new)
-        if not kept:
-            return out
-        flat = [np.fromiter((t for k in kept for t in own[k]), np.int64) for own in ids]
+        joint = self._tokens([" ".join(new)]) if all(map(safe_end, new)) else None
+        if joint is not None:
+            kept, flat = list(range(len(new))), [np.array(x) for x in joint]
+        else:
+            each = [self._tokens([c]) for c in new]
+            kept = [k for k, ids in enumerate(each) if ids is not None]
+            if not kept:
+                return out
+            flat = [np.concatenate([each[k][side] for k in kept]) for side in (0, 1)]
+        whole = {k: (" " + new[k]).encode() for k in kept}
         ends_a, ends_b = (np.cumsum(n[f]) for n, f in zip(self.lengths, flat))
         bounds = np.cumsum([len(whole[k]) for k in kept])
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)

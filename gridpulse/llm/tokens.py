@@ -14,10 +14,13 @@ from collections.abc import Callable
 import numpy as np
 
 #: Distinct chunks, and characters of chunks, that a task remembers; when it has more, it starts anew.
-REMEMBERED, REMEMBERED_CHARS = 1 << 20, 1 << 26
+REMEMBERED, REMEMBERED_CHARS = 1 << 18, 1 << 24
+
+#: Chunks that are handed to a tokenizer as one text; one text costs far less than many short ones.
+JOINED = 512
 
 # A space after one of these is no safe cut: some engines count it as white space, and white space belongs to what follows.
-_WHITE = r"[\s\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]"
+_WHITE = r"[\s\x00-\x20\x7f-\xa0" + "\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]"
 _UNSAFE, _UNSAFE_END = re.compile(_WHITE + r" |\A | \Z"), re.compile(_WHITE + r"\Z")
 
 
@@ -47,7 +50,7 @@ def chunks(text: str) -> list[str]:
     held: list[str] = []
     for piece in pieces:
         held.append(piece)
-        if piece and not _UNSAFE_END.search(piece):
+        if safe_end(piece):
             out.append(" ".join(held))
             held = []
     if held == [""] and out:
@@ -57,33 +60,62 @@ def chunks(text: str) -> list[str]:
     return out
 
 
+def safe_end(chunk: str) -> bool:
+    """Whether any other chunk may follow this one."""
+    return bool(chunk) and not _UNSAFE_END.search(chunk)
+
+
 class Remembered:
-    """What `make` gives for chunks, made once for each distinct one; `make` takes many at once."""
+    """What `make` gives for chunks, made once for each distinct one; `make` takes up to `at_once` of them."""
 
-    def __init__(self, make: Callable[[list[str]], list]) -> None:
-        self.make, self.known, self.chars = make, {}, 0
+    def __init__(self, make: Callable[[list[str]], list], at_once: int) -> None:
+        self.make, self.at_once, self.known, self.chars = make, at_once, {}, 0
 
     def of(self, wanted: set[str]) -> dict[str, object]:
         """A table that has at least the wanted chunks."""
         new = list(wanted - self.known.keys())
         if len(self.known) + len(new) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             self.known, self.chars, new = {}, 0, list(wanted)
-        self.known.update(zip(new, self.make(new)))
+        for k in range(0, len(new), self.at_once):
+            some = new[k : k + self.at_once]
+            self.known.update(zip(some, self.make(some)))
         self.chars += sum(map(len, new))
         return self.known
 
 
+_LETTERS = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481\u048a-\u04ff"
+_WORD, _STOP = re.compile(f"[{_LETTERS}]+"), re.compile(f"(?<=[{_LETTERS}0-9])([.,]) ")
+_WORD_END = "</w>"
+
+
 def ids_of_words(path: str) -> Callable[[list[str]], list[bytes]]:
-    """Token ids of texts, as little-endian unsigned 32-bit numbers, by a tokenizer that drops white space."""
+    """Token ids of texts, as little-endian unsigned 32-bit numbers, by a tokenizer that drops white space and marks the ends of words.
+
+    Such a tokenizer never joins a word and the stop behind it.
+    """
     made = tokenizer(path, plain_specials=False)
+    ends_word = np.array([(made.id_to_token(k) or "").endswith(_WORD_END) for k in range(made.get_vocab_size())])
 
-    def encode(texts: list[str]) -> list[bytes]:
+    def separately(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in made.encode_batch_fast(texts, add_special_tokens=False)]
 
-    remembered = Remembered(encode)
+    def jointly(words: list[str]) -> list[bytes]:
+        """Words of letters only have one word end each."""
+        ids = np.array(made.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * (np.flatnonzero(ends_word[ids]) + 1)).tolist()
+        raw = ids.tobytes()
+        return [raw[i:j] for i, j in zip([0, *ends], ends)] if len(ends) == len(words) else separately(words)
+
+    def encode(some: list[str]) -> list[bytes]:
+        words = [c for c in some if _WORD.fullmatch(c)]
+        others = [c for c in some if not _WORD.fullmatch(c)]
+        found = dict(zip(words, jointly(words))) | dict(zip(others, separately(others)))
+        return [found[c] for c in some]
+
+    remembered = Remembered(encode, JOINED)
 
     def ids(texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") for t in texts]
+        cut = [_STOP.sub(r" \1 ", t.replace("\n", " ")).split(" ") for t in texts]
         known = remembered.of(set().union(*cut))
         return [b"".join([known[c] for c in pieces]) for pieces in cut]
 
