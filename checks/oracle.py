@@ -792,6 +792,63 @@ WHERE a.is_anomaly ORDER BY b.timestamp, b.row_idx, b.rule_ord, a.row_idx, a.met
         + filled_cte("numbered", "hosts", "host_id")
         + f""",
 clean_hosts AS (SELECT row_idx, event_id, host_id, {", ".join(clipped(c) for c in METRICS)} FROM hosts)""",
+    )
+    clean_hosts = (
+        "numbered AS (SELECT * REPLACE (row_number() OVER (PARTITION BY host_id ORDER BY row_idx) AS row_idx) FROM raw),\n"
+        + filled_cte("numbered", "hosts", "host_id")
+        + f""",
+clean_hosts AS MATERIALIZED (SELECT row_idx, event_id, timestamp, host_id, {", ".join(clipped(c) for c in METRICS)} FROM hosts)"""
+    )
+    in_host = "OVER (PARTITION BY host_id)"
+    scaled = ", ".join(
+        f"CASE WHEN max({c}) {in_host} = min({c}) {in_host} THEN 0 ELSE "
+        + even(f"({c} - min({c}) {in_host}) / (max({c}) {in_host} - min({c}) {in_host})", 4)
+        + f" END AS {c}_normalized"
+        for c in METRICS
+    )
+    twins["normalize_by_host"] = over("raw", f"SELECT event_id, host_id, {scaled} FROM clean_hosts", clean_hosts)
+    host_points = "\nUNION ALL\n".join(
+        f"SELECT event_id, host_id, timestamp, '{c}' AS metric, {c} AS x, {c}_rolling_flag AS rolling_flag FROM host_flags" for c in METRICS
+    )
+    twins["anomalies_by_host"] = over(
+        "raw",
+        f"""SELECT host_id, event_id, timestamp, metric, {even("x", 2)} AS value, z_score, zscore_flag, iqr_flag, rolling_flag,
+  methods::INTEGER AS methods_flagged, CASE methods WHEN 3 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS confidence, methods >= 2 AS is_anomaly
+FROM (SELECT *, zscore_flag::INT + iqr_flag::INT + rolling_flag::INT AS methods FROM host_scored) WHERE methods >= 1""",
+        clean_hosts
+        + f""",
+host_flags AS (SELECT *, {", ".join(rolling_flag(c) for c in METRICS)} FROM clean_hosts
+  WINDOW w15 AS (PARTITION BY host_id ORDER BY row_idx ROWS BETWEEN 14 PRECEDING AND CURRENT ROW)),
+host_points AS MATERIALIZED ({host_points}),
+host_stats AS MATERIALIZED (
+  SELECT host_id, metric, avg(x) AS mean, stddev_samp(x) AS std, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3
+  FROM host_points GROUP BY ALL),
+host_scored AS (
+  SELECT p.*, {stable("CASE WHEN std = 0 THEN 0 ELSE abs((x - mean) / std) END", 3)} AS z_score,
+    coalesce(std <> 0 AND abs((x - mean) / std) > 3, false) AS zscore_flag,
+    coalesce(x < q1 - 1.5e0 * (q3 - q1) OR x > q3 + 1.5e0 * (q3 - q1), false) AS iqr_flag
+  FROM host_points p JOIN host_stats s ON p.metric = s.metric AND p.host_id IS NOT DISTINCT FROM s.host_id)""",
+    )
+    twins["iqr_fences_by_host"] = over(
+        "src",
+        "\nUNION ALL\n".join(
+            f"SELECT host_id, '{c}' AS metric, {calm('q1 - 1.5e0 * (q3 - q1)')} AS lower_fence, {calm('q3 + 1.5e0 * (q3 - q1)')} AS upper_fence "
+            f"FROM (SELECT host_id, quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM src GROUP BY host_id)"
+            for c in METRICS
+        ),
+    )
+    zones = (
+        "('gpu_usage', 'gpu_cpu', 'Critical', 90e0, NULL), ('cpu_usage', 'gpu_cpu', 'Critical', 90e0, NULL), "
+        "('temperature', 'temperature', 'Danger Zone', 85e0, 100e0), ('temperature', 'temperature', 'Throttle', 90e0, NULL), "
+        "('memory_usage', 'memory', 'Warning', 85e0, NULL), ('memory_usage', 'memory', 'Critical', 95e0, NULL)"
+    )
+    twins["limit_readings"] = over(
+        "src",
+        f"""SELECT z.metric, timeline, label, count(*) AS readings, count(DISTINCT workload_type) AS workloads,
+  min(timestamp) AS first_at, max(timestamp) AS last_at, max(value) AS peak
+FROM (UNPIVOT src ON {M} INTO NAME metric VALUE value) r
+JOIN (VALUES {zones}) z(metric, timeline, label, low, high) ON r.metric = z.metric AND value >= low AND (high IS NULL OR value < high)
+GROUP BY ALL""",
     )
     for r in rules.RULES:
         twins[f"rule_{r.id}"] = over(

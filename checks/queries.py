@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridpulse.functions.rounding import denoise
 from gridpulse.operators import anomalies, cleaning, correlation, features, findings, rules, shaping, summaries
 from gridpulse.operators.sequence import Sequence
 from gridpulse.plans import catalog
@@ -227,6 +228,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "normalize_minmax": _on_run(
             lambda r: cleaning.normalize(cleaned_sequence(r).rows).select(ID, *NORMALIZED)
         ),
+        "normalize_by_host": lambda s, d: cleaning.normalize_per(cleaning.clean(_by_host(s, d)).rows, ("host_id",)).select(
+            ID, "host_id", *NORMALIZED
+        ),
         "null_counts": _on_run(lambda r: cleaning.null_counts(r.raw)),
         "missing_cells": _on_run(lambda r: cleaning.missing_cells(r.raw)),
         # features
@@ -269,6 +273,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "bottleneck_reasons": _on_bottlenecks(lambda b: b.select(ID, "issue", "reason")),
         # anomaly methods
+        "anomalies_by_host": lambda s, d: anomalies.scan_anomalies(
+            prepare(_by_host(s, d)), keep=(ID, "host_id"), per=("host_id",)
+        ).select("host_id", *ANOMALY_COLUMNS),
+        "iqr_fences_by_host": lambda s, d: anomalies.iqr_fences(metrics_from_events(s, d), per=("host_id",)).withColumns(
+            {c: denoise(F.col(c)) for c in ("lower_fence", "upper_fence")}
+        ),
         "anomaly_zscore": _on_metrics(
             lambda m: anomalies.zscores(m).select(ID, *_flags(("zscore", "zscore_flag")))
         ),
@@ -312,6 +322,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bn_top_hours": _on_bottlenecks(summaries.top_hours),
         "bn_frequency": _on_bottlenecks(summaries.bottleneck_frequency),
         "timeline_limits": _timeline_limits,
+        "limit_readings": lambda s, d: shaping.limit_readings(metrics_from_events(s, d)),
         "reopened_q8": lambda spark, sf_dir: catalog.run_query(_reopened(spark, sf_dir), "correlated_events"),
         "reopened_filter": lambda spark, sf_dir: shaping.apply_filters(
             _reopened(spark, sf_dir).metrics.rows, date_range=("2024-01-05", "2024-01-06 12:00:00")

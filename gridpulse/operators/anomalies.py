@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
+from gridpulse.functions.keyed import joined_by_key
 from gridpulse.functions.quantiles import exact_quantiles
 from gridpulse.functions.rounding import half_even, stable
 from gridpulse.operators.sequence import Sequence
@@ -68,10 +69,10 @@ def detect_rolling(
 # -- whole-series statistics -----------------------------------------------------
 
 
-def moments(df: DataFrame, metrics: Seq[str] = METRICS) -> DataFrame:
-    """One row: `<metric>_mean` and `<metric>_std` (sample)."""
+def moments(df: DataFrame, metrics: Seq[str] = METRICS, per: Seq[str] = ()) -> DataFrame:
+    """One row (per key): `<metric>_mean` and `<metric>_std` (sample)."""
     columns = present(df, metrics)
-    return df.agg(
+    return df.groupBy(*per).agg(
         *[F.avg(c).alias(f"{c}_mean") for c in columns],
         *[F.stddev_samp(c).alias(f"{c}_std") for c in columns],
     )
@@ -81,10 +82,11 @@ def iqr_fences(
     df: DataFrame,
     multiplier: float = IQR_MULTIPLIER,
     metrics: Seq[str] = METRICS,
+    per: Seq[str] = (),
 ) -> DataFrame:
-    """Fences per metric: (metric, lower_fence, upper_fence)."""
+    """Fences per metric (and key): (keys, metric, lower_fence, upper_fence)."""
     columns = present(df, metrics)
-    quartiles = exact_quantiles(df, columns, (0.25, 0.75))
+    quartiles = exact_quantiles(df, columns, (0.25, 0.75), keys=per)
 
     def fences(c: str) -> Column:
         q1, q3 = F.col(c)[0], F.col(c)[1]
@@ -95,33 +97,61 @@ def iqr_fences(
             (q3 + reach).alias("upper_fence"),
         )
 
-    return quartiles.select(F.inline(F.array(*[fences(c) for c in columns])))
+    return quartiles.select(*per, F.inline(F.array(*[fences(c) for c in columns])))
 
 
-def zscores(df: DataFrame, threshold: float = Z_THRESHOLD, metrics: Seq[str] = METRICS) -> DataFrame:
-    """Add `<metric>_zscore` (absolute, 3 places) and `<metric>_zscore_flag`.
+def zscores(df: DataFrame, threshold: float = Z_THRESHOLD, metrics: Seq[str] = METRICS, per: Seq[str] = ()) -> DataFrame:
+    """Add `<metric>_zscore` (absolute, 3 places) and `<metric>_zscore_flag`, against the statistics of all rows or of each key.
 
     A constant metric scores 0, since its deviation would be 0/0.
     """
+    if per:
+        stats = moments(df, metrics, per)
+        joined = joined_by_key(df, stats, per)
+        score = lambda c: _score(F.col(c), F.col(f"{c}_mean"), F.col(f"{c}_std"))
+        return _with_scores(joined, {c: score(c) for c in present(df, metrics)}, threshold).select(*df.columns, *_score_names(df, metrics))
     stats = moments(df, metrics).first()
 
     def score(c: str) -> Column:
         mean, std = stats[f"{c}_mean"], stats[f"{c}_std"]
         return F.lit(0.0) if std == 0 else F.abs((F.col(c) - F.lit(mean)) / F.lit(std))
 
-    scores = {c: score(c) for c in present(df, metrics)}
+    return _with_scores(df, {c: score(c) for c in present(df, metrics)}, threshold)
+
+
+def _score(x: Column, mean: Column, std: Column) -> Column:
+    return F.when(std == 0, 0.0).otherwise(F.abs((x - mean) / F.nullif(std, F.lit(0.0))))
+
+
+def _with_scores(df: DataFrame, scores: dict[str, Column], threshold: float) -> DataFrame:
     return df.withColumns(
         {f"{c}_zscore": stable(z, 3) for c, z in scores.items()}
         | {f"{c}_zscore_flag": F.coalesce(z > threshold, F.lit(False)) for c, z in scores.items()}
     )
 
 
+def _score_names(df: DataFrame, metrics: Seq[str]) -> list[str]:
+    return [f"{c}_{kind}" for c in present(df, metrics) for kind in ("zscore", "zscore_flag")]
+
+
 def iqr_flags(
     df: DataFrame,
     multiplier: float = IQR_MULTIPLIER,
     metrics: Seq[str] = METRICS,
+    per: Seq[str] = (),
 ) -> DataFrame:
-    """Add `<metric>_iqr_flag`: value strictly outside the fences."""
+    """Add `<metric>_iqr_flag`: value strictly outside the fences of all rows, or of its key."""
+    if per:
+        columns = present(df, metrics)
+        quartiles = exact_quantiles(df, columns, (0.25, 0.75), keys=per).withColumnsRenamed({c: f"_q_{c}" for c in columns})
+        joined = joined_by_key(df, quartiles, per)
+
+        def outside(c: str) -> Column:
+            q1, q3 = F.col(f"_q_{c}")[0], F.col(f"_q_{c}")[1]
+            reach = multiplier * (q3 - q1)
+            return F.coalesce((F.col(c) < q1 - reach) | (F.col(c) > q3 + reach), F.lit(False))
+
+        return joined.withColumns({f"{c}_iqr_flag": outside(c) for c in columns}).drop(*[f"_q_{c}" for c in columns])
     fences = iqr_fences(df, multiplier, metrics).collect()  # one row per metric
 
     def flag(c: str, low: float | None, high: float | None) -> Column:
@@ -181,9 +211,12 @@ def vote(df: DataFrame, metrics: Seq[str] = METRICS, keep: Seq[str] = ()) -> Dat
     return table.select(*[f.name for f in ANOMALIES], METRIC, *extra)
 
 
-def scan_anomalies(seq: Sequence, metrics: Seq[str] = METRICS, keep: Seq[str] = (), **options) -> DataFrame:
+def scan_anomalies(seq: Sequence, metrics: Seq[str] = METRICS, keep: Seq[str] = (), per: Seq[str] = (), **options) -> DataFrame:
     """All flagged points of a series, plus `metric_ord`, `row_idx` and `keep` if present.
 
+    `per` names the keys (say, of a host) whose own mean, deviation and quartiles a reading is held against; without it
+    the whole table has one set of statistics.
+
     Options: threshold, multiplier, window, num_std.  Trailing flags already stored
     with the series (see plans.run) are used as they are, which leaves one narrow
     scan; they are recomputed when a window option is given.
@@ -194,8 +227,8 @@ def scan_anomalies(seq: Sequence, metrics: Seq[str] = METRICS, keep: Seq[str] =
     stored = all(rolling_flag_name(c) in df.columns for c in present(df, metrics))
     if not stored or (window, num_std) != (ROLLING_WINDOW, ROLLING_STDS):
         df = detect_rolling(seq, window, num_std, metrics).rows
-    df = zscores(df, options.get("threshold", Z_THRESHOLD), metrics)
-    df = iqr_flags(df, options.get("multiplier", IQR_MULTIPLIER), metrics)
+    df = zscores(df, options.get("threshold", Z_THRESHOLD), metrics, per)
+    df = iqr_flags(df, options.get("multiplier", IQR_MULTIPLIER), metrics, per)
     return vote(df, metrics, keep)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence as Seq
 from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from gridpulse.functions.keyed import joined_by_key
 from gridpulse.functions.rounding import half_even
 from gridpulse.operators.sequence import CARRY, Sequence
 from gridpulse.schema import METRICS, ROW, VALID_RANGE, present
@@ -128,6 +129,19 @@ def normalize(df: DataFrame, ranges: Row | None = None) -> DataFrame:
     return df.withColumns({f"{c}_normalized": scaled(c) for c in present(df)})
 
 
+def normalize_per(df: DataFrame, per: Seq[str]) -> DataFrame:
+    """Add `<metric>_normalized` against the range of the row's key; 0 for a metric that is constant in the key."""
+    columns = present(df)
+    ranges = df.groupBy(*per).agg(*[f(c).alias(f"_{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))])
+    joined = joined_by_key(df, ranges, per)
+
+    def scaled(c: str) -> Column:
+        low, high = F.col(f"_min_{c}"), F.col(f"_max_{c}")
+        return F.when(low == high, 0.0).otherwise(half_even((F.col(c) - low) / F.nullif(high - low, F.lit(0.0)), 4))
+
+    return joined.withColumns({f"{c}_normalized": scaled(c) for c in columns}).drop(*[f"_{n}_{c}" for c in columns for n in ("min", "max")])
+
+
 def null_counts(df: DataFrame, metrics: Seq[str] = METRICS) -> DataFrame:
     """Missing cells per column, long form (metric, missing, total)."""
     columns = present(df, metrics)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence as Seq
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.operators.rules import RULE
 from gridpulse.operators.summaries import SEVERITIES
-from gridpulse.schema import ROW, TS, WORKLOAD
+from gridpulse.schema import ROW, TS, WORKLOAD, present
 
 # Display budgets, sample seed, trend resolution, limit lines.
 PLOT_POINTS = 2000
@@ -111,6 +112,53 @@ def limit_lines(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "timeline string, label string, low double, high double")
 
 
+def in_limits(df: DataFrame, limits: DataFrame, columns: Seq[str], width: float = 5.0) -> DataFrame:
+    """An interval join: every reading (the given columns, as `metric` and `value`) with every limit of its metric that it reaches.
+
+    `limits` has metric, low (included) and high (excluded; null: no end), and what else should come along.  Values are cut into
+    bins of the width, limits are repeated for their bins, and bins are joined by equality, so that a reading meets only the limits of
+    its bin.  Beyond the last end that any limit has, all bins are one.
+    """
+    ends = limits.agg(F.min("low"), F.max(F.greatest("low", F.coalesce("high", "low")))).first()
+    if ends[0] is None:
+        first = last = 0
+    else:
+        first, last = math.floor(ends[0] / width), math.floor(ends[1] / width) + 1
+    bin_of = lambda x: F.greatest(F.lit(first - 1), F.least(F.lit(last), F.floor(x / width))).cast("int")
+    binned = limits.withColumnRenamed("metric", "_metric").withColumn(
+        "_bin", F.explode(F.sequence(bin_of(F.col("low")), F.coalesce(bin_of(F.col("high")), F.lit(last))))
+    )
+    kept = [c for c in df.columns if c not in columns]
+    readings = df.unpivot(kept, list(columns), "metric", "value").where("value is not null")
+    within = (F.col("value") >= F.col("low")) & (F.col("high").isNull() | (F.col("value") < F.col("high")))
+    met = (F.col("metric") == F.col("_metric")) & (bin_of(F.col("value")) == F.col("_bin")) & within
+    return readings.join(binned, met).drop("_metric", "_bin")
+
+
+def limit_zones(spark: SparkSession) -> DataFrame:
+    """The limits of the timelines as intervals (metric, timeline, label, low, high): a line has no upper end."""
+    rows = [
+        (metric, name, label, *(map(float, at) if isinstance(at, tuple) else (float(at), None)))
+        for name, limits in LIMIT_LINES.items()
+        for metric in TIMELINES[name]
+        for label, at in limits.items()
+    ]
+    return spark.createDataFrame(rows, "metric string, timeline string, label string, low double, high double")
+
+
+def limit_readings(df: DataFrame) -> DataFrame:
+    """What the timelines' limits say about a series: per metric and limit the readings that reach it, how many workloads they belong to, the first
+    and last time, and the peak."""
+    met = in_limits(df.select(TS, WORKLOAD, *present(df)), limit_zones(df.sparkSession), present(df))
+    return met.groupBy("metric", "timeline", "label").agg(
+        F.count("*").alias("readings"),
+        F.count_distinct(WORKLOAD).alias("workloads"),
+        F.min(TS).alias("first_at"),
+        F.max(TS).alias("last_at"),
+        F.max("value").alias("peak"),
+    )
+
+
 def bottleneck_timeline(bottlenecks: DataFrame) -> DataFrame:
     """(timestamp, issue, severity, reason) with the rank severities are drawn in."""
     rank = F.array_position(F.array(*[F.lit(s) for s in SEVERITIES]), F.col("severity")).cast("int")
