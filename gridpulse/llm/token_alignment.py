@@ -96,13 +96,8 @@ class _Digits:
         return rows[used], used.sum(axis=1)
 
 
-@dataclass(frozen=True)
-class _Chunk:
-    """What is known of one chunk: its numbers of `MEASURES`, the pairs of its links, its groups; none of them if it does not come back."""
-
-    numbers: tuple[int, ...] | None
-    pairs: np.ndarray
-    groups: bytes
+#: What is known of a chunk: how many tokens of the first kind it has, the pairs of its links, its groups; None if it does not come back.
+_Chunk = tuple[int, np.ndarray, bytes] | None
 
 
 class Aligner:
@@ -112,7 +107,7 @@ class Aligner:
         self.a, self.b = byte_level(path_a), pieces(path_b)
         self.lengths = [np.array([len(x) for x in v.bytes]) for v in (self.a, self.b)]
         self.digits = _Digits(max(len(self.a.bytes), len(self.b.bytes)))
-        self.remembered = Remembered(self._aligned, JOINED)
+        self.remembered = Remembered(lambda new: zip(new, self._aligned(new)), JOINED)
 
     def texts(self, texts: list[str]) -> Iterator[tuple[tuple[int, ...], np.ndarray, str] | None]:
         """For each text its numbers, the pairs of its links and the hash of its groups, or None if it has no tokens."""
@@ -120,12 +115,14 @@ class Aligner:
         known = self.remembered.of(set().union(*cut))
         for own in cut:
             found = [known[c] for c in own]
-            if not found or any(f.numbers is None for f in found):
+            if not found or None in found:
                 yield None
                 continue
-            numbers = tuple(map(sum, zip(*[f.numbers for f in found])))
-            groups = b"".join([f.groups for f in found])
-            yield numbers, np.concatenate([f.pairs for f in found]), sha256(groups[:-1]).hexdigest()
+            tokens_a, parts, texts_of = zip(*found)
+            n_a, pairs, groups = sum(tokens_a), np.concatenate(parts), b"".join(texts_of)
+            n_groups = groups.count(b";")
+            tokens = groups.count(b",") + 2 * n_groups  # one separator behind each token; a group ends one of either kind
+            yield (n_a, tokens - n_a, n_groups, len(pairs)), pairs, sha256(groups[:-1]).hexdigest()
 
     def _tokens(self, texts: list[str]) -> list[list[int]] | None:
         """Ids of one text by both tokenizers, if both give it back."""
@@ -135,7 +132,7 @@ class Aligner:
 
     def _aligned(self, new: list[str]) -> list[_Chunk]:
         """All new chunks laid end to end and aligned at once: both tokenizers end a token at every chunk's end."""
-        out = [_Chunk(None, np.empty(0, np.int64), b"")] * len(new)
+        out: list[_Chunk] = [None] * len(new)
         joint = self._tokens([" ".join(new)]) if all(map(safe_end, new)) else None
         if joint is not None:
             kept, flat = list(range(len(new))), [np.array(x) for x in joint]
@@ -152,12 +149,13 @@ class Aligner:
         cuts = np.union1d(ends_a, ends_b)
         pairs = flat[0][np.searchsorted(ends_a, cuts)] * PAIR + flat[1][np.searchsorted(ends_b, cuts)]
         text, at = self._groups(flat, ends_a, ends_b, common)
-        last = [np.searchsorted(x, bounds, side="right") for x in (ends_a, ends_b, common, cuts)]
-        numbers = np.diff(np.vstack([np.zeros((1, 4), np.int64), np.array(last).T]), axis=0)
-        text_end = at[last[0] + last[1] - 1]  # a chunk's tokens of both kinds come together
-        for k, chunk in enumerate(kept):
-            first, text_first = (last[3][k - 1], text_end[k - 1]) if k else (0, 0)
-            out[chunk] = _Chunk(tuple(numbers[k].tolist()), pairs[first : last[3][k]], text[text_first : text_end[k]].tobytes())
+        last_a, last_b, last_cut = (np.searchsorted(x, bounds, side="right") for x in (ends_a, ends_b, cuts))
+        text_end = at[last_a + last_b - 1].tolist()  # a chunk's tokens of both kinds come together
+        tokens_a, raw = np.diff(last_a, prepend=0).tolist(), text.tobytes()
+        first = text_first = 0
+        for chunk, n_a, cut, end in zip(kept, tokens_a, last_cut.tolist(), text_end):
+            out[chunk] = (n_a, pairs[first:cut], raw[text_first:end])
+            first, text_first = cut, end
         return out
 
     def _groups(self, flat: list[np.ndarray], ends_a: np.ndarray, ends_b: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

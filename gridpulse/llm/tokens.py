@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
@@ -21,7 +21,7 @@ JOINED = 512
 
 # A space after one of these is no safe cut: some engines count it as white space, and white space belongs to what follows.
 _WHITE = r"[\s\x00-\x20\x7f-\xa0" + "\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]"
-_UNSAFE, _UNSAFE_END = re.compile(_WHITE + r" |\A | \Z"), re.compile(_WHITE + r"\Z")
+_UNSAFE, _UNSAFE_END = re.compile(_WHITE + r" |\A | \Z"), re.compile(_WHITE)
 
 
 def public_path(name: str) -> str:
@@ -62,23 +62,22 @@ def chunks(text: str) -> list[str]:
 
 def safe_end(chunk: str) -> bool:
     """Whether any other chunk may follow this one."""
-    return bool(chunk) and not _UNSAFE_END.search(chunk)
+    return bool(chunk) and not _UNSAFE_END.match(chunk, len(chunk) - 1)
 
 
 class Remembered:
-    """What `make` gives for chunks, made once for each distinct one; `make` takes up to `at_once` of them."""
+    """What `make` gives for chunks, as pairs, made once for each distinct one; `make` takes up to `at_once` of them."""
 
-    def __init__(self, make: Callable[[list[str]], list], at_once: int) -> None:
-        self.make, self.at_once, self.known, self.chars = make, at_once, {}, 0
+    def __init__(self, make: Callable[[list[str]], Iterable[tuple[str, object]]], at_once: int, most: int = REMEMBERED) -> None:
+        self.make, self.at_once, self.most, self.known, self.chars = make, at_once, most, {}, 0
 
     def of(self, wanted: set[str]) -> dict[str, object]:
         """A table that has at least the wanted chunks."""
         new = list(wanted - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+        if len(self.known) + len(new) > self.most or self.chars > REMEMBERED_CHARS:
             self.known, self.chars, new = {}, 0, list(wanted)
         for k in range(0, len(new), self.at_once):
-            some = new[k : k + self.at_once]
-            self.known.update(zip(some, self.make(some)))
+            self.known.update(self.make(new[k : k + self.at_once]))
         self.chars += sum(map(len, new))
         return self.known
 
@@ -106,13 +105,13 @@ def ids_of_words(path: str) -> Callable[[list[str]], list[bytes]]:
         raw = ids.tobytes()
         return [raw[i:j] for i, j in zip([0, *ends], ends)] if len(ends) == len(words) else separately(words)
 
-    def encode(some: list[str]) -> list[bytes]:
-        words = [c for c in some if _WORD.fullmatch(c)]
-        others = [c for c in some if not _WORD.fullmatch(c)]
-        found = dict(zip(words, jointly(words))) | dict(zip(others, separately(others)))
-        return [found[c] for c in some]
+    def encode(some: list[str]) -> Iterator[tuple[str, bytes]]:
+        words = list(filter(_WORD.fullmatch, some))
+        others = list(set(some).difference(words)) if len(words) < len(some) else []
+        yield from zip(words, jointly(words))
+        yield from zip(others, separately(others))
 
-    remembered = Remembered(encode, JOINED)
+    remembered = Remembered(encode, JOINED, 2 * REMEMBERED)  # ids take little room
 
     def ids(texts: list[str]) -> list[bytes]:
         cut = [_STOP.sub(r" \1 ", t.replace("\n", " ")).split(" ") for t in texts]
