@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.functions.ranks import LOCAL_VALUES, average_ranks
+from gridpulse.functions.ranks import average_ranks
 from gridpulse.functions.rounding import half_even, stable
 from gridpulse.functions.significance import correlation_p_value
 from gridpulse.operators.sequence import Sequence
@@ -96,7 +96,7 @@ def guarded_pearson(df: DataFrame, by: Seq[str] = (), pairs: Seq[Pair] = PAIRS)
     )
 
 
-def rank_table(seq: Sequence, pairs: Seq[Pair] = PAIRS, local_values: int = LOCAL_VALUES) -> DataFrame:
+def rank_table(seq: Sequence, pairs: Seq[Pair] = PAIRS) -> DataFrame:
     """Ranks of every pair's variables, overall and inside the workload.
 
     A pair is ranked over the rows that have both values.  When no value is
@@ -114,7 +114,7 @@ def rank_table(seq: Sequence, pairs: Seq[Pair] = PAIRS, local_values: int = LOCA
         for i, p in usable:
             both = F.col(p.x).isNotNull() & F.col(p.y).isNotNull()
             variables |= {f"{i}_x": F.when(both, F.col(p.x)), f"{i}_y": F.when(both, F.col(p.y))}
-    return average_ranks(_with_workload(seq.rows), seq.length, variables, WORKLOAD, local_values)
+    return average_ranks(_with_workload(seq.rows), seq.length, variables, WORKLOAD)
 
 
 def _with_workload(df: DataFrame) -> DataFrame:
