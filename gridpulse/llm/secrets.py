@@ -8,9 +8,11 @@ only if the parts that would make it a usable credential stand within `SCOPE` co
 * an account needs a secret (assignment, hexadecimal run or bare key);
 * an endpoint needs both an identifier and a secret.
 
-The link is an interval join done by order instead of by pairs: along the parts of a text, the end of the last identifier
-(secret, endpoint) before, and the start of the next one after, decide whether one is in scope.  That is linear in the number of
-parts, however dense they are.
+Parts that overlap do not complete each other, and a bare key inside an endpoint is a piece of its address: an ordinary link is no credential.
+
+The link is an interval join done by order instead of by pairs: along the starts and ends of a text's parts, the end of the last identifier
+(secret, endpoint) that is over, and the start of the next one to come, decide whether one is in scope.  That is linear in the number of
+parts, up to a sort, however dense they are.
 
 Scale: matching is one pass over the texts.  Only parts are shuffled, keyed by a 128-bit hash of their text, so that copies of a text,
 however many, send each part once per map task and are looked up, not repeated.  A text without parts costs nothing after the scan.
@@ -95,31 +97,49 @@ def _parts(docs: DataFrame) -> DataFrame:
     return placed.where(F.col("size") >= enough).select("key1", "key2", "kind", "start", "end")
 
 
-def _within(kinds: tuple[str, ...]) -> Column:
-    """Whether a part of one of these kinds, other than the row itself, is in scope."""
-    is_kind = F.col("kind").isin(*map(_number, kinds))
+def _near(parts: DataFrame, sought: dict[str, tuple[str, ...]]) -> DataFrame:
+    """`parts` with one boolean per entry of `sought`: whether a part of these kinds lies in scope, before or after the row and apart from it.
+
+    Every part is two points, its end and its start.  Along the points of a text, up to a start, the last end of the kinds is that of the nearest part
+    that is over by then; downwards, from an end, the last start is that of the nearest part still to come.  Parts that overlap the row are in neither.
+    """
+    is_end = F.col("_end")
+    ahead = Window.partitionBy("key1", "key2").orderBy("_at", F.col("_end").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    behind = Window.partitionBy("key1", "key2").orderBy(F.col("_at").desc(), "_end").rowsBetween(Window.unboundedPreceding, 0)
+    points = parts.withColumn("_end", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("_at", F.when(is_end, F.col("end")).otherwise(F.col("start")))
+    marks = {}
+    for name, kinds in sought.items():
+        of_kind = F.col("kind").isin(*map(_number, kinds))
+        over = F.max(F.when(of_kind & is_end, F.col("_at"))).over(ahead)
+        to_come = F.min(F.when(of_kind & ~is_end, F.col("_at"))).over(behind)
+        marks[name] = F.coalesce(F.when(is_end, to_come - F.col("_at")).otherwise(F.col("_at") - over) <= SCOPE, F.lit(False))
+    part = ("key1", "key2", "kind", "start", "end")
+    return points.withColumns(marks).groupBy(*part).agg(*(F.bool_or(name).alias(name) for name in sought))
+
+
+def _overlaps(kinds: tuple[str, ...]) -> Column:
+    """Whether the row overlaps another part of one of these kinds."""
+    of_kind = F.col("kind").isin(*map(_number, kinds))
     ahead = Window.partitionBy("key1", "key2").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
     behind = Window.partitionBy("key1", "key2").orderBy(F.col("start").desc(), F.col("kind").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    last = F.max(F.when(is_kind, F.col("end"))).over(ahead)
-    following = F.min(F.when(is_kind, F.col("start"))).over(behind)
-    return F.coalesce(F.col("start") - last <= SCOPE, F.lit(False)) | F.coalesce(following - F.col("end") <= SCOPE, F.lit(False))
+    before = F.max(F.when(of_kind, F.col("end"))).over(ahead) > F.col("start")
+    after = F.min(F.when(of_kind, F.col("start"))).over(behind) < F.col("end")
+    return F.coalesce(before, F.lit(False)) | F.coalesce(after, F.lit(False))
 
 
 def found_spans(docs: DataFrame) -> DataFrame:
     """(key1, key2, kind, start, end) of all strong parts and of the weak ones that are linked, once per distinct text.
 
-    A weak candidate that overlaps a strong part belongs to it and is left out.
+    A weak candidate that overlaps a strong part belongs to it and is left out; so is a bare key inside an endpoint, which is a piece
+    of an address.  Parts that overlap never complete each other.
     """
     parts = _parts(docs)
     strong = F.col("kind") < len(STRONG)
-    ahead = Window.partitionBy("key1", "key2").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    behind = Window.partitionBy("key1", "key2").orderBy(F.col("start").desc(), F.col("kind").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.max(F.when(strong, F.col("end"))).over(ahead) > F.col("start"), F.lit(False))
-    after = F.coalesce(F.min(F.when(strong, F.col("start"))).over(behind) < F.col("end"), F.lit(False))
-    candidates = parts.withColumn("inside", ~strong & (before | after)).where("not inside")
-    identifier, endpoint = _within(("access", "account")), _within(("endpoint",))
-    secret = _within(("assign", "hex", "key"))
-    marked = candidates.withColumns({"by_identifier": identifier, "by_endpoint": endpoint, "by_secret": secret})
+    owned = parts.withColumns({"by_strong": _overlaps(tuple(k[0] for k in STRONG)), "by_address": _overlaps(("endpoint",))})
+    belongs = (~strong & F.col("by_strong")) | ((F.col("kind") == _number("key")) & F.col("by_address"))
+    candidates = owned.where(~belongs).select("key1", "key2", "kind", "start", "end")
+    sought = {"by_identifier": ("access", "account"), "by_endpoint": ("endpoint",), "by_secret": ("assign", "hex", "key")}
+    marked = _near(candidates, sought)
     linked = (
         strong
         | ((F.col("kind") == _number("key")) & (F.col("by_identifier") | F.col("by_endpoint")))
