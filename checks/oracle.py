@@ -850,6 +850,46 @@ FROM (UNPIVOT src ON {M} INTO NAME metric VALUE value) r
 JOIN (VALUES {zones}) z(metric, timeline, label, low, high) ON r.metric = z.metric AND value >= low AND (high IS NULL OR value < high)
 GROUP BY ALL""",
     )
+    twins["bottleneck_sink"] = over("bn", "SELECT timestamp, issue, reason, severity, severity_icon, recommendation FROM bn")
+    twins["anomaly_sink"] = over("an", f"SELECT {ANOMALY_COLUMNS.removeprefix('event_id, ')} FROM an WHERE is_anomaly")
+    twins["user_rules"] = over(
+        "bn",
+        """SELECT event_id, issue, severity, reason FROM bn WHERE issue <> 'Power Limit' UNION ALL
+SELECT event_id, 'Warm and Idle', 'Medium', 'Temperature ' || temperature::VARCHAR || '°C at ' || gpu_usage::VARCHAR || '% GPU'
+FROM feat WHERE temperature > 75 AND gpu_usage < 30""",
+    )
+    twins["own_pairs"] = over(
+        "feat",
+        f"""SELECT 0 AS pair_ord, count(*) AS n, {stable("corr(x, y)", 3)} AS pearson_r, {stable("corr(rx, ry)", 3)} AS spearman_r FROM (
+  SELECT x, y, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2e0 AS rx,
+    rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2e0 AS ry
+  FROM (SELECT memory_usage AS x, power_consumption AS y FROM feat) WHERE x IS NOT NULL AND y IS NOT NULL)""",
+    )
+    frame = "{c} > avg({c}) OVER w + 1.5e0 * coalesce(stddev_samp({c}) OVER w, 0) OR {c} < avg({c}) OVER w - 1.5e0 * coalesce(stddev_samp({c}) OVER w, 0)"
+    chosen = "\nUNION ALL\n".join(
+        f"SELECT event_id, timestamp, '{c}' AS metric, {c} AS x, min({c}) OVER w < max({c}) OVER w AND ({frame.format(c=c)}) AS rolling_flag "
+        "FROM feat WINDOW w AS (ORDER BY row_idx ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)"
+        for c in ("temperature", "cpu_usage")
+    )
+    twins["detector_options"] = over(
+        "feat",
+        f"""SELECT event_id, timestamp, metric, {even("x", 2)} AS value, z_score, zscore_flag, iqr_flag, rolling_flag,
+  methods::INTEGER AS methods_flagged, CASE methods WHEN 3 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS confidence, methods >= 2 AS is_anomaly
+FROM (SELECT *, zscore_flag::INT + iqr_flag::INT + rolling_flag::INT AS methods FROM (
+  SELECT o.*, {stable("abs((x - mean) / std)", 3)} AS z_score, abs((x - mean) / std) > 1.5e0 AS zscore_flag,
+    x < q1 - 0.5e0 * (q3 - q1) OR x > q3 + 0.5e0 * (q3 - q1) AS iqr_flag
+  FROM own_points o JOIN own_stats USING (metric))) WHERE methods >= 1""",
+        f"""own_points AS MATERIALIZED ({chosen}),
+own_stats AS (SELECT metric, avg(x) AS mean, stddev_samp(x) AS std, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3
+  FROM own_points GROUP BY metric)""",
+    )
+    long = each(
+        stable("avg({c}) OVER w", 2) + " AS {c}_mean_5000, " + stable("stddev_samp({c}) OVER w", 2) + " AS {c}_std_5000",
+        ("gpu_usage", "temperature"),
+    )
+    last = "ORDER BY row_idx ROWS BETWEEN 4999 PRECEDING AND CURRENT ROW)"
+    twins["rolling_5000"] = over("feat", f"SELECT event_id, {long} FROM feat WINDOW w AS ({last}")
+    twins["rolling_5000_by_host"] = over("raw", f"SELECT event_id, host_id, {long} FROM raw WINDOW w AS (PARTITION BY host_id {last}")
     for r in rules.RULES:
         twins[f"rule_{r.id}"] = over(
             "bn",

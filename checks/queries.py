@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.functions.rounding import denoise
-from gridpulse.operators import anomalies, cleaning, correlation, features, findings, rules, shaping, summaries
+from gridpulse.functions.rounding import denoise, stable
+from gridpulse.operators import anomalies, cleaning, correlation, features, findings, long_frames, rules, shaping, summaries
 from gridpulse.operators.sequence import Sequence
 from gridpulse.plans import catalog
 from gridpulse.plans.run import Run, analyse, prepare
@@ -26,7 +26,7 @@ from gridpulse.schema import (
     TS,
     WORKLOAD,
 )
-from gridpulse.sources import sinks
+from gridpulse.sources import sinks, tables
 from gridpulse.sources.metrics import metrics_from_events, read_csv
 from gridpulse.workspace import new_path
 
@@ -77,6 +77,50 @@ def _table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select(*SYSTEM_METRICS.names)
 
 
+def _bottleneck_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versioned table after one replacement: nothing of its first content is left."""
+    run, path = run_of(spark, sf_dir), new_path(spark, "table")
+    sinks.save_bottlenecks(run.bottlenecks.where("severity = 'Critical'"), path, versioned=True)
+    sinks.save_bottlenecks(run.bottlenecks, path, versioned=True)
+    return tables.read(spark, path)
+
+
+def _anomaly_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = sinks.save_anomalies(run_of(spark, sf_dir).anomalies, new_path(spark, "table"), versioned=True)
+    return tables.read(spark, path)
+
+
+#: A user's own rules; the second needs a column that the table below lacks, and finds nothing.
+OWN_RULES = (
+    rules.Rule(
+        "warm_and_idle", "temperature > 75 AND gpu_usage < 30", ("temperature", "gpu_usage"), "Warm and Idle", "Medium", "🟡",
+        "Temperature {temperature}°C at {gpu_usage}% GPU", "Check the fans",
+    ),
+    rules.Rule("fan_stopped", "fan_speed = 0", ("fan_speed",), "Fan Stopped", "Critical", "🔴", "Fan at {fan_speed}", "Replace it"),
+)
+OWN_PAIRS = (correlation.Pair("memory_usage", "power_consumption", "Memory × Power", "Weak"), correlation.Pair("fan_speed", "temperature", "Fan × Heat", "-"))
+LONG_FRAME = 5000
+
+
+def _user_rules(metrics: DataFrame) -> DataFrame:
+    table = metrics.drop("power_consumption")
+    return rules.scan_rules(table, [*OWN_RULES, *rules.RULES], keep=(ID,)).select(ID, "issue", "severity", "reason")
+
+
+def _own_pairs(run: Run) -> DataFrame:
+    return correlation.pair_correlations(run.metrics, correlation.rank_table(run.metrics, OWN_PAIRS), OWN_PAIRS).select(
+        "pair_ord", "n", "pearson_r", "spearman_r"
+    )
+
+
+def _long_frames(seq: Sequence, *keep: str) -> DataFrame:
+    """Means and deviations over the last 5000 rows, more than a block of the series holds."""
+    metrics = ("gpu_usage", "temperature")
+    names = [f(m, LONG_FRAME) for m in metrics for f in (long_frames.mean_name, long_frames.std_name)]
+    rows = long_frames.long_rolling(seq, metrics, LONG_FRAME).rows
+    return rows.select(ID, *keep, *[stable(F.col(n), 2).alias(n) for n in names])
+
+
 def _export_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = run_of(spark, sf_dir)
     kept = shaping.apply_filters(run.metrics.rows, ["training", "idle"]).select(*SYSTEM_METRICS.names)
@@ -217,6 +261,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_roundtrip": _csv_roundtrip,
         "raw_csv_roundtrip": _raw_csv_roundtrip,
         "table_roundtrip": _table_roundtrip,
+        "bottleneck_sink": _bottleneck_sink,
+        "anomaly_sink": _anomaly_sink,
         "export_filtered": _export_filtered,
         "export_query": _export_query,
         "data_range": _on_metrics(summaries.data_range),
@@ -244,6 +290,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 ID, "rolling_avg_gpu_5", "rolling_avg_gpu_15", "rolling_avg_temp_10", "rolling_std_gpu_5"
             )
         ),
+        "rolling_5000": _on_run(lambda r: _long_frames(cleaned_sequence(r))),
+        "rolling_5000_by_host": lambda s, d: _long_frames(_by_host(s, d), "host_id"),
         "feat_lag_diff": _on_run(
             lambda r: features.engineer_features(cleaned_sequence(r)).rows.select(ID, "memory_pressure")
         ),
@@ -271,6 +319,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "detect_bottlenecks": _on_metrics(
             lambda m: rules.scan_rules(m, keep=(ID,)).select(ID, *BOTTLENECKS.names)
         ),
+        "user_rules": _on_metrics(_user_rules),
         "bottleneck_reasons": _on_bottlenecks(lambda b: b.select(ID, "issue", "reason")),
         # anomaly methods
         "anomalies_by_host": lambda s, d: anomalies.scan_anomalies(
@@ -297,9 +346,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "detect_anomalies": _on_run(
             lambda r: anomalies.scan_anomalies(r.metrics, keep=(ID,)).select(*ANOMALY_COLUMNS)
         ),
+        "detector_options": _on_run(
+            lambda r: anomalies.scan_anomalies(
+                r.metrics, ("temperature", "cpu_usage"), keep=(ID,), threshold=1.5, multiplier=0.5, window=8, num_std=1.5
+            ).select(*ANOMALY_COLUMNS)
+        ),
         "anomalies_confirmed": _on_anomalies(lambda a: anomalies.confirmed(a).select(*ANOMALY_COLUMNS)),
         # correlation
         "corr_pearson": _on_metrics(correlation.guarded_pearson),
+        "own_pairs": _on_run(_own_pairs),
         "corr_small_sample": _on_run(_per_hour_correlation),
         "corr_spearman": _on_run(_spearman),
         "corr_pvalues": _on_run(_pvalues),

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridpulse.operators.sequence import Sequence
 from gridpulse.plans.run import Run
 from gridpulse.schema import ROW, TS
+from gridpulse.sources.tables import current, replace
 
 DATE = "date"
+ABOUT = "length long, block int, keys array<string>, schemas map<string, string>"
 
 
 def _clustered(table: DataFrame) -> DataFrame:
@@ -18,18 +23,25 @@ def _clustered(table: DataFrame) -> DataFrame:
 
 
 def save_run(run: Run, path: str) -> str:
-    """Write all tables of a run, with positions, keys and flags; what was at the path is replaced."""
+    """Write all tables of a run, with positions, keys and flags; what was at the path is replaced, all tables at once."""
     spark = run.raw.sparkSession
-    for name, table in (("raw", run.raw), ("system_metrics", run.metrics.rows), ("bottlenecks", run.bottlenecks), ("anomalies", run.anomalies)):
-        _clustered(table).write.mode("overwrite").partitionBy(DATE).parquet(f"{path}/{name}")
-    about = [(run.metrics.length, run.metrics.block, list(run.metrics.keys))]
-    spark.createDataFrame(about, "length long, block int, keys array<string>").coalesce(1).write.mode("overwrite").json(f"{path}/about")
-    return path
+    held = {"raw": run.raw, "system_metrics": run.metrics.rows, "bottlenecks": run.bottlenecks, "anomalies": run.anomalies}
+    laid_out = {name: _clustered(table) for name, table in held.items()}
+    # A table without rows has no files that could tell its columns.
+    about = [(run.metrics.length, run.metrics.block, list(run.metrics.keys), {n: t.schema.json() for n, t in laid_out.items()})]
+
+    def write(folder: str) -> None:
+        for name, table in laid_out.items():
+            table.write.partitionBy(DATE).parquet(f"{folder}/{name}")
+        spark.createDataFrame(about, ABOUT).coalesce(1).write.json(f"{folder}/about")
+
+    return replace(spark, path, write)
 
 
 def open_run(spark: SparkSession, path: str) -> Run:
     """The run stored at a path.  Its tables also have the day, `date`, by which they are laid out."""
-    about = spark.read.schema("length long, block int, keys array<string>").json(f"{path}/about").first()
-    tables = {n: spark.read.parquet(f"{path}/{n}") for n in ("raw", "system_metrics", "bottlenecks", "anomalies")}
+    folder = current(spark, path)  # one version for all tables
+    about = spark.read.schema(ABOUT).json(f"{folder}/about").first()
+    tables = {n: spark.read.schema(StructType.fromJson(json.loads(s))).parquet(f"{folder}/{n}") for n, s in about.schemas.items()}
     metrics = Sequence(tables["system_metrics"], about.length, about.block, tuple(about.keys))
     return Run(raw=tables["raw"], metrics=metrics, bottlenecks=tables["bottlenecks"], anomalies=tables["anomalies"])
