@@ -9,7 +9,9 @@ rates reach their limit cannot throw it off.  An iteration is one aggregation of
 
 Rates become copies by systematic rounding: along the documents of a source, ordered by size,
 an extra copy is dealt whenever the sum of the fractions passes a whole number.  Neighbours have nearly the same size, so a
-source misses its target by about one document.  Sums are of integers (millionths of a copy), so reruns agree.
+source misses its target by about one document, which may be a long one.  What it misses is then settled with shorter ones: the largest size that
+still fits into the rest flips between its two neighbouring whole numbers of copies, then shorter ones, until nothing fits or `SETTLING` rounds are
+over.  A source in which too few short documents can flip keeps the rest of its miss.  Sums are of integers (millionths of a copy, words), so reruns agree.
 
 Scale: equal documents of one source share one histogram row, hence one rate.  The sums run over blocks
 of sizes and over hash slots within one size, never over all documents of a source in one task.
@@ -29,6 +31,8 @@ SHARE = 1.5
 MOST_COPIES = 2
 TOLERANCE = 1e-7
 ITERATIONS = 60
+#: Rounds in which sources settle what rounding left; each leaves less than the size it chose.
+SETTLING = 6
 #: Fractions of a copy are counted in these units.
 UNIT = 1_000_000
 #: Sizes whose fractions are summed in one window, and hash slots of documents of one size.
@@ -148,21 +152,76 @@ def mix(docs: DataFrame, share: float = SHARE, weights: tuple[int, ...] = WEIGHT
     ranked = sized.withColumn("turn", turn)
     units = F.col("before") + F.col("turn") * F.col("part") + UNIT // 2
     extra = F.floor(units / UNIT) - F.floor((units - F.col("part")) / UNIT)
-    return ranked.join(dealt, _eqs(ranked, dealt, "source", "size", "slot")).select(
-        "doc_id", ranked["source"], ranked["size"], "source_size", "target", "rate", (F.col("whole") + extra).cast("long").alias("copies")
+    rounded = ranked.join(dealt, _eqs(ranked, dealt, "source", "size", "slot")).select(
+        "doc_id", ranked["source"], ranked["size"], ranked["slot"], "source_size", "target", "rate", "whole", extra.alias("extra"), (F.col("part") > 0).alias("free")
+    )
+    return _settled(store(rounded, "mixing_rounded"))
+
+
+def _flips(counts: DataFrame, goals: DataFrame) -> DataFrame:
+    """(source, size, extra, flips): how many documents of a size give up their extra copy, or get one where `extra` is 0.
+
+    counts: (source, size, extra, n) of the documents that can flip.  goals: (source, miss), words taken above the target.
+    """
+    rest = goals.select("source", (F.col("miss") > 0).cast("long").alias("extra"), F.floor(F.abs("miss")).alias("rest"))
+    rest = rest.withColumn("below", F.col("rest") + 1)  # sizes from here on are settled
+    longer = Window.partitionBy("source").orderBy(F.col("size").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    found = None
+    for _ in range(SETTLING):
+        fits = counts.join(rest, _eqs(counts, rest, "source", "extra")).where((counts["size"] <= F.col("rest")) & (counts["size"] < F.col("below")))
+        left = F.col("rest") - F.coalesce(F.sum(F.col("n") * F.col("size")).over(longer), F.lit(0))
+        fits = fits.select(counts["source"], counts["extra"], counts["size"], "n", "rest").withColumn("left", left).where("left > 0")
+        step = fits.withColumn("flips", F.least(F.col("n"), F.floor(F.col("left") / F.col("size"))))
+        step = store(step, "mixing_flips")  # at most a row per source and size
+        chosen = step.where("flips > 0").select("source", "size", "extra", "flips")
+        found = chosen if found is None else found.unionByName(chosen)
+        # the longest size that did not fit with all its documents ends the round; shorter ones wait for the next
+        rest = step.groupBy("source", "extra").agg(
+            (F.max("rest") - F.sum(F.col("flips") * F.col("size"))).alias("rest"), F.min("size").alias("below")
+        )
+    return found
+
+
+def _settled(rounded: DataFrame) -> DataFrame:
+    """The rounded mix with the flips that bring each source close to its target.
+
+    Of the documents of one size those in the first hash slots flip, in a slot those with the smallest ids.
+    """
+    words = F.col("size") * (F.col("whole") + F.col("extra"))
+    per_slot = rounded.groupBy("source", "size", "slot", "extra", "free", "target").agg(F.count("*").alias("n"), F.sum(words).alias("words"))
+    per_slot = store(per_slot, "mixing_slots")
+    goals = per_slot.groupBy("source").agg((F.sum("words") - F.max("target")).alias("miss"))
+    can = per_slot.where("free and size > 0")
+    flips = _flips(can.groupBy("source", "size", "extra").agg(F.sum("n").alias("n")), goals)
+
+    earlier = Window.partitionBy("source", "size", "extra").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    asked = can.join(flips, _eqs(can, flips, "source", "size", "extra")).select(can["source"], can["size"], can["extra"], "slot", "n", "flips")
+    own = F.least(F.col("n"), F.col("flips") - F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    asked = asked.withColumn("own", own).where("own > 0").select("source", "size", "slot", "extra", "own", F.lit(True).alias("free"))
+
+    turn = F.row_number().over(Window.partitionBy("source", "size", "slot", "extra", "free").orderBy("doc_id"))
+    ranked = rounded.withColumn("turn", turn)
+    both = ranked.join(asked, _eqs(ranked, asked, "source", "size", "slot", "extra", "free"), "left")
+    final = F.when(F.col("turn") <= F.col("own"), 1 - ranked["extra"]).otherwise(ranked["extra"])
+    return both.select(
+        "doc_id", ranked["source"], ranked["size"], "source_size", "target", "rate", (F.col("whole") + final).cast("long").alias("copies")
     )
 
 
 def mixed_documents(docs: DataFrame, share: float = SHARE, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with `copy` (1, 2, …), `size` and `target` added.
+    """The mix itself: every document as often as it is taken, with `size`, `target` and `copy` (1, 2, …) added.
 
+    Input columns of these three names are replaced; all others stay as they are, whatever their names (`_mix_size` and `_mix_nth` are reserved).
     Documents are matched to their copies by (doc_id, source, size); rows equal in all three share their copies evenly by sum.
     """
-    columns = [c for c in docs.columns if c not in ("copy", "copies", "size", "target")]
-    taken = mix(docs, share, weights)
-    turn = Window.partitionBy("doc_id", "source", "size").orderBy(F.col("copies").desc())
-    taken = taken.withColumn("nth", F.row_number().over(turn)).select("doc_id", "source", "size", "nth", "target", "copies")
-    rows = docs.select(*columns).withColumn("size", word_count(F.col("text")))
-    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.xxhash64("text"))))
-    both = rows.join(taken, _eqs(rows, taken, "doc_id", "source", "size", "nth")).where("copies > 0")
-    return both.select(*[rows[c] for c in columns], rows["size"], "target", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    columns = [c for c in docs.columns if c not in ("copy", "size", "target")]
+    taken = mix(docs, share, weights).withColumnRenamed("size", "_mix_size")
+    same = Window.partitionBy("doc_id", "source", "_mix_size")
+    taken = taken.withColumn("_mix_nth", F.row_number().over(same.orderBy(F.col("copies").desc()))).select(
+        "doc_id", "source", "_mix_size", "_mix_nth", F.col("target").alias("_mix_target"), F.col("copies").alias("_mix_copies")
+    )
+    rows = docs.select(*columns).withColumn("_mix_size", word_count(F.col("text")))
+    rows = rows.withColumn("_mix_nth", F.row_number().over(same.orderBy(F.xxhash64("text"))))
+    both = rows.join(taken, _eqs(rows, taken, "doc_id", "source", "_mix_size", "_mix_nth")).where("_mix_copies > 0")
+    repeats = F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))).alias("copy")
+    return both.select(*[rows[c] for c in columns], rows["_mix_size"].alias("size"), F.col("_mix_target").alias("target"), repeats)
