@@ -1,18 +1,22 @@
 """Hierarchical Pitman-Yor language model, sampled by Gibbs in parallel.
 
-The next word's restaurant is chosen by the last two bytes of the word before; its parent by the last byte alone; theirs by nothing; above
-that all words are alike.  (Endings rather than whole words, as most words are rare: endings tell language and part of speech, and there are at
-most 65,536 + 256 + 1 restaurants.)  A word's customers sit at tables; every table sends one customer to the parent restaurant.
+The next word's restaurant is that of the whole word before; its parent that of this word's last two bytes; theirs that of the last byte alone;
+above it one of all words, and there all words are alike.  (The endings tell language and part of speech where a pair of words is new.)
+A word's customers sit at tables; every table sends one customer to the parent restaurant.
 Gibbs sweeps take the customers of a dish out of their restaurant and seat them again, one by one while they are few and in runs of a sixteenth of those
 seated when many, by the Chinese restaurant rule: an old table as it has customers less the discount, a new one as the parent likes the dish.
 Probabilities are averaged over the sweeps after the first.
 
 How it is dealt out: a dish lives with its word.  All restaurants' dishes of one word share a bucket, so customers sent to a parent stay in the
-task.  What restaurants need to know of other words are table totals, at most 65,793 numbers; these are summed after each sweep and sent to the next.
-Sweeps are seeded, so a task repeats earlier sweeps from the totals instead of storing seats, also after the loss of an executor.
+task.  What restaurants need to know of other words are table totals.  Those of the endings are at most 65,793 numbers, summed after each sweep and
+sent to the next.  Those of whole words grow with the corpus and stay distributed: shards of contexts add up what the buckets report, and answer every
+bucket for the contexts that it has.  A context, however hot, is one number per bucket there.
+Each sweep's seats and totals are written tables, so a lost executor repeats one sweep of its buckets; sweeps are seeded.
 
 Texts are read once, into chunks of about `CHUNK_TOKENS` tokens stored in the shared folder.  A chunk asks the buckets for each of its distinct (word,
-ending) pairs once, and is answered in the same order.  No token is shuffled alone, and no word's tokens meet in one task.
+word before) pairs once, and is answered in the same order.  No token is shuffled alone, and no word's tokens meet in one task; its distinct contexts do.
+
+A context is 32 bits of the word's hash and its ending; two words of one ending share a restaurant once in four billion pairs.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from __future__ import annotations
 import math
 import pickle
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +32,9 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
+from gridpulse.llm.texts import store_bucketed
 from gridpulse.llm.words import LOWER, mix, slices, word_hashes, words
 from gridpulse.workspace import store
 
@@ -37,11 +44,23 @@ BUCKET_CHARS = 6_000_000
 SWEEPS, BURN_IN = 4, 1
 #: Strength of every restaurant; discounts are estimated.
 THETA = 1.0
+#: Restaurants of the levels above the word's own: two bytes, one byte, none.
 ENDINGS = (1 << 16, 1 << 8, 1)
+LEVELS = 1 + len(ENDINGS)
 END = mix(np.uint64([0xE0D]))[0]
+#: The context of a text's first word; its ending is 0.
+START = np.uint64(0xFFFFFFFF0000)
+#: Instead of a shard: a bucket's seats, its totals by ending; instead of a bucket: who has which contexts of a shard.
+SEATS, TOTALS, PLAN = -1, -2, -1
+PARTS = "bucket int, shard int, payload binary"
 SMOOTHING = 0.1
 
 
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Differences of neighbours, which pack better than ascending numbers; `np.cumsum` undoes it."""
+    return np.diff(x, prepend=x.dtype.type(0))
+
+
 def _pack(**arrays) -> bytes:
     return zstandard.compress(pickle.dumps(arrays, protocol=5), 1)
 
@@ -59,40 +78,44 @@ def learnable(doc_id) -> F.Column:
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, word hash, ending of the word before) of all tokens of a slice: A-Z lower-cased words, then the end."""
+    """(text, word hash, context) of all tokens of a slice: A-Z lower-cased words, then the end."""
     lowered = LOWER[data]
     begin, end, bounds = words(lowered, offsets)
     n = len(offsets) - 1
-    counts = np.diff(bounds)
-    ending = lowered[end - 1].astype(np.uint16) if len(end) else np.empty(0, np.uint16)
+    hashes = word_hashes(lowered, begin, end)
+    ending = lowered[end - 1].astype(np.uint64) if len(end) else np.empty(0, np.uint64)
     long = end - begin > 1
-    ending[long] |= lowered[end[long] - 2].astype(np.uint16) << 8
+    ending[long] |= lowered[end[long] - 2].astype(np.uint64) << np.uint64(8)
     word = np.full(len(begin) + n, END, np.uint64)
-    context = np.zeros(len(begin) + n, np.uint16)
-    at = np.arange(len(begin)) + np.repeat(np.arange(n), counts)
-    word[at] = word_hashes(lowered, begin, end)
-    context[at + 1] = ending
-    return np.repeat(np.arange(n), counts + 1), word, context
+    context = np.full(len(begin) + n, START, np.uint64)
+    at = np.arange(len(begin)) + np.repeat(np.arange(n), np.diff(bounds))
+    word[at] = hashes
+    context[at + 1] = (hashes >> np.uint64(32) << np.uint64(16)) | ending
+    return np.repeat(np.arange(n), np.diff(bounds) + 1), word, context
 
 
 def _chunk_rows(chunk: int, ids: list, held: np.ndarray, doc: np.ndarray, word: np.ndarray, context: np.ndarray, buckets: int) -> pa.RecordBatch:
     """Rows of one chunk: its requests by bucket, and (bucket -1) its documents and which of them have which dish how often."""
     known, which = np.unique(word, return_inverse=True)
-    keys = np.sort((which.astype(np.uint64) << np.uint64(40)) | (context.astype(np.uint64) << np.uint64(24)) | doc.astype(np.uint64))
+    contexts, before = np.unique(context, return_inverse=True)
+    dishes, dish = np.unique(which * len(contexts) + before, return_inverse=True)
+    keys = np.sort((dish.astype(np.uint64) << np.uint64(24)) | doc.astype(np.uint64))
     doc = (keys & np.uint64(0xFFFFFF)).astype(np.uint32)
     dish_key = keys >> np.uint64(24)
     heads = np.flatnonzero(np.r_[True, dish_key[1:] != dish_key[:-1]])
     tokens = np.diff(np.r_[heads, len(keys)]).astype(np.int32)
     learned = np.add.reduceat((~held[doc]).astype(np.int32), heads)
-    dish_word, dish_context = (dish_key[heads] >> np.uint64(16)).astype(np.int64), (dish_key[heads] & np.uint64(0xFFFF)).astype(np.uint16)
+    dish_word, dish_context = dishes // len(contexts), dishes % len(contexts)
     # the words are sorted by hash, so those of a bucket stand together
     bucket = ((known >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)[dish_word]
     edges = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)]
     out_bucket, payload = [-1], [_pack(ids=ids, held=held, tokens=tokens, doc=doc)]
     for a, b in zip(edges[:-1], edges[1:]):
         own, index = np.unique(dish_word[a:b], return_inverse=True)
+        near, place = np.unique(dish_context[a:b], return_inverse=True)
         out_bucket.append(int(bucket[a]))
-        payload.append(_pack(words=known[own], counts=np.bincount(index).astype(np.int32), context=dish_context[a:b], learned=learned[a:b]))
+        asked = {"contexts": _steps(contexts[near]), "context": place.astype(np.int32), "learned": learned[a:b]}
+        payload.append(_pack(words=known[own], counts=np.bincount(index).astype(np.int32), **asked))
     return pa.RecordBatch.from_arrays([pa.array([chunk] * len(payload), pa.int64()), pa.array(out_bucket, pa.int32()), pa.array(payload, pa.binary())], ["chunk", "bucket", "payload"])
 
 
@@ -127,14 +150,16 @@ def _merge(table: pa.Table) -> pa.Table:
     """All chunks' requests of one bucket as one table of dishes, and for each chunk which dishes it asked for."""
     asked = [(c, _unpack(p)) for c, p in sorted(zip(table["chunk"].to_pylist(), table["payload"].to_pylist()))]
     word = np.concatenate([np.repeat(a["words"], a["counts"]) for _, a in asked])
-    context = np.concatenate([a["context"] for _, a in asked])
-    learned = np.concatenate([a["learned"] for _, a in asked])
     known, which = np.unique(word, return_inverse=True)
-    dishes, index = np.unique(which.astype(np.int64) << 16 | context, return_inverse=True)
+    contexts, place = np.unique(np.concatenate([np.cumsum(a["contexts"]) for _, a in asked]), return_inverse=True)
+    before = np.cumsum([0, *(len(a["contexts"]) for _, a in asked)])
+    context = np.concatenate([place[a["context"] + first] for (_, a), first in zip(asked, before)])
+    learned = np.concatenate([a["learned"] for _, a in asked])
+    dishes, index = np.unique(which * len(contexts) + context, return_inverse=True)
     count = np.bincount(index, weights=learned).astype(np.int64)
     sizes = np.cumsum([len(a["context"]) for _, a in asked])[:-1]
-    answers = [(c, i.astype(np.int32)) for (c, _), i in zip(asked, np.split(index, sizes))]
-    packed = _pack(word=(dishes >> 16).astype(np.int32), context=(dishes & 0xFFFF).astype(np.int32), count=count)
+    answers = [(c, _steps(i.astype(np.int32))) for (c, _), i in zip(asked, np.split(index, sizes))]
+    packed = _pack(word=(dishes // len(contexts)).astype(np.int32), context=(dishes % len(contexts)).astype(np.int32), count=count, contexts=_steps(contexts))
     return pa.table({"bucket": table["bucket"][:1], "dishes": pa.array([packed], pa.binary()), "asked": pa.array([_pack(asked=answers)], pa.binary())})
 
 
@@ -159,42 +184,57 @@ def seat(customers: np.ndarray, others: np.ndarray, parent: np.ndarray, discount
 
 
 class Dishes:
-    """The dishes of one bucket at all levels: (word, two bytes), (word, one byte), (word)."""
+    """The dishes of one bucket at all levels: (word, word before), (word, two bytes), (word, one byte), (word)."""
 
     def __init__(self, bucket: int, packed: bytes):
         d = _unpack(packed)
-        self.bucket, self.word = bucket, d["word"]
-        self.place = [d["context"], None, None]
-        middle, self.up0 = np.unique(d["word"].astype(np.int64) << 8 | (d["context"] & 0xFF), return_inverse=True)
-        self.place[1], self.up1 = (middle & 0xFF).astype(np.int32), (middle >> 8).astype(np.int64)
-        self.n_words = int(self.up1.max()) + 1 if len(middle) else 0
-        self.place[2] = np.zeros(self.n_words, np.int32)
-        self.customers = [d["count"], None, None]
-        self.tables = [np.minimum(d["count"], 1), None, None]
-        for level in (1, 2):
+        self.bucket, self.word, self.contexts = bucket, d["word"], np.cumsum(d["contexts"])
+        ending = (self.contexts & np.uint64(0xFFFF)).astype(np.int64)
+        self.place = [d["context"]]
+        self.up, keys = [], d["word"].astype(np.int64) << 16 | ending[d["context"]]
+        for bits in (16, 8, 0):
+            dishes, up = np.unique(keys, return_inverse=True)
+            self.up.append(up)
+            self.place.append((dishes & ((1 << bits) - 1)).astype(np.int32))
+            narrower = max(bits - 8, 0)
+            keys = (dishes >> bits) << narrower | (dishes & ((1 << narrower) - 1))
+        self.n_words = len(self.place[-1])
+        self.customers = [d["count"], None, None, None]
+        self.tables = [np.minimum(d["count"], 1), None, None, None]
+        for level in range(1, LEVELS):
             self._send(level)
             self.tables[level] = np.minimum(self.customers[level], 1)
-        self.of_word = np.bincount(self.up1[self.up0], weights=d["count"], minlength=self.n_words).astype(np.int64) if self.n_words else np.empty(0, np.int64)
+        self.word_of = self.up[2][self.up[1][self.up[0]]]
+        self.of_word = np.bincount(self.word_of, weights=d["count"], minlength=self.n_words).astype(np.int64)
 
     def _send(self, level: int) -> None:
-        up, n = ((self.up0, len(self.place[1])), (self.up1, self.n_words))[level - 1]
-        self.customers[level] = np.bincount(up, weights=self.tables[level - 1], minlength=n).astype(np.int64)
+        self.customers[level] = np.bincount(self.up[level - 1], weights=self.tables[level - 1], minlength=len(self.place[level])).astype(np.int64)
+
+    def seated(self, tables: list[np.ndarray]) -> Dishes:
+        """The same dishes with the tables of an earlier sweep."""
+        self.tables = tables
+        for level in range(1, LEVELS):
+            self._send(level)
+        return self
+
+    def by_context(self, level_values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.place[0], weights=level_values, minlength=len(self.contexts)).astype(np.int64)
 
     def totals(self) -> dict:
-        """What other buckets must know: tables by restaurant and level, customers of the lowest, known words, once and twice seen dishes."""
-        by_place = [np.bincount(p, weights=t, minlength=n) for p, t, n in zip(self.place, self.tables, ENDINGS)]
+        """What all buckets must know: tables by ending and level, customers of the two-byte endings, known words, tokens, once and twice seen dishes."""
+        by_place = [np.bincount(p, weights=t, minlength=n) for p, t, n in zip(self.place[1:], self.tables[1:], ENDINGS)]
         seen = [[float((c == k).sum()) for k in (1, 2)] for c in self.customers]
         return {
-            "tables": by_place, "customers": np.bincount(self.place[0], weights=self.customers[0], minlength=ENDINGS[0]),
-            "words": float((self.of_word > 0).sum()), "seen": np.array(seen),
+            "tables": by_place, "customers": np.bincount(self.place[1], weights=self.customers[1], minlength=ENDINGS[0]),
+            "words": float((self.of_word > 0).sum()), "tokens": float(self.customers[0].sum()), "seen": np.array(seen),
         }
 
     def likes(self, model: dict) -> list[np.ndarray]:
         """Probabilities of every dish, by level, given the totals."""
         p = np.full(self.n_words, 1.0 / (model["words"] + 1))
-        out: list[np.ndarray] = [None, None, None]
-        for level, up in ((2, None), (1, self.up1), (0, self.up0)):
-            p = p if up is None else p[up]
+        out: list[np.ndarray] = [None] * LEVELS
+        for level in reversed(range(LEVELS)):
+            p = p[self.up[level]] if level < LEVELS - 1 else p
             d, at = model["discounts"][level], self.place[level]
             kept = self.customers[level] - d * self.tables[level] + (THETA + d * model["tables"][level][at]) * p
             p = out[level] = kept / (THETA + model["present"][level][at])
@@ -204,78 +244,151 @@ class Dishes:
         """Seat every dish of the bucket again, lowest restaurants first."""
         rng = np.random.default_rng([number, self.bucket])
         likes = self.likes(model)
-        above = [likes[1][self.up0], likes[2][self.up1], np.full(self.n_words, 1.0 / (model["words"] + 1))]
-        for level in range(3):
+        above = [p[up] for p, up in zip(likes[1:], self.up)] + [np.full(self.n_words, 1.0 / (model["words"] + 1))]
+        for level in range(LEVELS):
             if level:
                 self._send(level)
             others = model["tables"][level][self.place[level]] - self.tables[level]
             self.tables[level] = seat(self.customers[level], np.maximum(others, 0), above[level], model["discounts"][level], rng)
 
 
+# --- totals ---------------------------------------------------------------------------------------------------------
+
+
 def _total_rows(totals: dict) -> pa.RecordBatch:
-    """Totals as rows (level, place, tables, customers) without zeros; level 3 has the scalars in `tables`."""
-    scalars = np.r_[totals["words"], totals["seen"].ravel()]
+    """Totals as rows (level, place, tables, customers) without zeros; level 0 has the scalars in `tables`."""
+    scalars = np.r_[totals["words"], totals["tokens"], totals["seen"].ravel()]
     parts = []
-    for level, tables in enumerate([*totals["tables"], scalars]):
-        customers = totals["customers"] if level == 0 else np.zeros(len(tables))
+    for level, tables in enumerate([scalars, *totals["tables"]]):
+        customers = totals["customers"] if level == 1 else np.zeros(len(tables))
         at = np.flatnonzero((tables != 0) | (customers != 0))
         parts.append((np.full(len(at), level, np.int32), at.astype(np.int32), tables[at].astype(np.float64), customers[at].astype(np.float64)))
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], ["level", "place", "tables", "customers"])
 
 
 def _model(level: np.ndarray, place: np.ndarray, tables: np.ndarray, customers: np.ndarray, discounts: np.ndarray | None) -> dict:
-    """Summed totals of all buckets as what a sweep needs."""
+    """Summed totals of all buckets as what a sweep needs; those of whole words (level 0) differ by bucket and are missing here."""
 
     def vector(k: int, n: int, values: np.ndarray) -> np.ndarray:
         return np.bincount(place[level == k], weights=values[level == k], minlength=n)
 
-    by_place = [vector(k, n, tables) for k, n in enumerate(ENDINGS)]
-    present = [vector(0, ENDINGS[0], customers), by_place[0].reshape(-1, 256).sum(axis=0), by_place[1].sum(keepdims=True)]
-    words_, *seen = vector(3, 7, tables)
+    by_place = [vector(k, n, tables) for k, n in enumerate(ENDINGS, 1)]
+    present = [vector(1, ENDINGS[0], customers), by_place[0].reshape(-1, 256).sum(axis=0), by_place[1].sum(keepdims=True)]
+    words_, tokens, *seen = vector(0, 2 + 2 * LEVELS, tables)
     if discounts is None:
-        once, twice = np.array(seen).reshape(3, 2).T
+        once, twice = np.array(seen).reshape(LEVELS, 2).T
         discounts = np.clip(once / np.maximum(once + 2 * twice, 1), 0.05, 0.95)
-    return {"tables": by_place, "present": present, "words": words_, "discounts": discounts, "tokens": present[0].sum()}
+    return {"tables": [None, *by_place], "present": [None, *present], "words": words_, "discounts": discounts, "tokens": tokens}
 
 
-def _after(dishes: Dishes, history: list[dict]) -> Dishes:
-    for number, model in enumerate(history):
-        dishes.sweep(model, number)
-    return dishes
+def _local(model: dict, tables: np.ndarray, present: np.ndarray) -> dict:
+    """The model with the totals of one bucket's contexts."""
+    return {**model, "tables": [tables, *model["tables"][1:]], "present": [present, *model["present"][1:]]}
 
 
-def _totals(buckets: DataFrame, history: list[dict]) -> dict:
-    """The model after one more sweep: totals by restaurant, of which there are at most 65,793, summed by Spark."""
+def _summed(parts: DataFrame, discounts: np.ndarray | None) -> dict:
+    """The totals of all buckets by ending, of which there are at most 65,793, summed by Spark."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield _total_rows(_after(Dishes(bucket, packed), history).totals())
+            for packed in batch.column(0).to_pylist():
+                yield _total_rows(_unpack(packed))
 
-    rows = buckets.select("bucket", "dishes").mapInArrow(batches, "level int, place int, tables double, customers double")
+    rows = parts.where(F.col("shard") == TOTALS).select("payload").mapInArrow(batches, "level int, place int, tables double, customers double")
     summed = rows.groupBy("level", "place").agg(F.sum("tables").alias("tables"), F.sum("customers").alias("customers")).toArrow()
-    return _model(*(summed[c].to_numpy() for c in ("level", "place", "tables", "customers")), history[0]["discounts"] if history else None)
+    return _model(*(summed[c].to_numpy() for c in ("level", "place", "tables", "customers")), discounts)
 
 
-def _answers(buckets: DataFrame, history: list[dict]) -> DataFrame:
-    """(chunk, bucket, payload): log10 of the averaged probability, and the word's count, of every dish that a chunk asked for."""
+def _table(rows: list[tuple[int, int, bytes]]) -> pa.Table:
+    bucket, shard, payload = zip(*rows) if rows else ((), (), ())
+    return pa.table({"bucket": pa.array(bucket, pa.int32()), "shard": pa.array(shard, pa.int32()), "payload": pa.array(payload, pa.binary())})
+
+
+def _reports(dishes: Dishes, number: int, shards: int) -> list[tuple[int, int, bytes]]:
+    """What a bucket writes after a sweep: its seats, its totals by ending, and for each shard the tables in the contexts it has there."""
+    rows = [(dishes.bucket, SEATS, _pack(number=number, tables=[t.astype(np.int32) for t in dishes.tables])), (dishes.bucket, TOTALS, _pack(**dishes.totals()))]
+    shard = ((dishes.contexts >> np.uint64(16)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+    edges = np.r_[0, np.flatnonzero(np.diff(shard)) + 1, len(shard)]
+    tables, customers = dishes.by_context(dishes.tables[0]), dishes.by_context(dishes.customers[0])
+    for a, b in zip(edges[:-1], edges[1:]):
+        first = {"contexts": _steps(dishes.contexts[a:b]), "customers": customers[a:b]} if not number else {}
+        rows.append((dishes.bucket, int(shard[a]), _pack(tables=tables[a:b], **first)))
+    return rows
+
+
+def _plan(table: pa.Table) -> pa.Table:
+    """One shard's first round: which of its contexts each bucket has, and every bucket's answers, customers among them."""
+    shard = table["shard"][0].as_py()
+    own = sorted((b, _unpack(p)) for b, p in zip(table["bucket"].to_pylist(), table["payload"].to_pylist()))
+    contexts, index = np.unique(np.concatenate([np.cumsum(r["contexts"]) for _, r in own]), return_inverse=True)
+    parts = np.split(index, np.cumsum([len(r["contexts"]) for _, r in own])[:-1])
+    tables, customers = (np.bincount(index, weights=np.concatenate([r[k] for _, r in own])).astype(np.int64) for k in ("tables", "customers"))
+    rows = [(PLAN, shard, _pack(contexts=len(contexts), parts={b: _steps(i.astype(np.int32)) for (b, _), i in zip(own, parts)}))]
+    rows += [(b, shard, _pack(number=0, tables=tables[i], present=customers[i])) for (b, _), i in zip(own, parts)]
+    return _table(rows)
+
 
+def _shard_replies(number: int):
+    """Later rounds: the summed tables of the shard's contexts, to every bucket those that it has."""
+
+    def reply(table: pa.Table) -> pa.Table:
+        shard = table["shard"][0].as_py()
+        own = {b: _unpack(p) for b, p in zip(table["bucket"].to_pylist(), table["payload"].to_pylist())}
+        plan = own.pop(PLAN)
+        parts = {b: np.cumsum(i) for b, i in plan["parts"].items()}
+        tables = np.zeros(plan["contexts"], np.int64)
+        for b, i in parts.items():
+            tables[i] += own[b]["tables"]  # a bucket has a context once
+        return _table([(b, shard, _pack(number=number, tables=tables[i])) for b, i in parts.items()])
+
+    return reply
+
+
+def _told(parts: pa.Table) -> tuple[np.ndarray, dict[int, np.ndarray], dict[int, list[np.ndarray]]]:
+    """What a bucket is told: customers by context, tables by context and seats by sweep."""
+    rows = sorted(((s, _unpack(p)) for s, p in zip(parts["shard"].to_pylist(), parts["payload"].to_pylist())), key=lambda r: (r[0], r[1]["number"]))
+    seats = {r["number"]: r["tables"] for s, r in rows if s == SEATS}
+    answers = [r for s, r in rows if s >= 0]
+    tables = {k: np.concatenate([r["tables"] for r in answers if r["number"] == k]) for k in {r["number"] for r in answers}}
+    return np.concatenate([r["present"] for r in answers if "present" in r]), tables, seats
+
+
+def _first_reports(buckets: DataFrame, shards: int) -> DataFrame:
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            for bucket, packed, asked in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                dishes = Dishes(bucket, packed)
-                mean = np.zeros(len(dishes.word))
-                for number, model in enumerate(history[:-1]):
-                    dishes.sweep(model, number)
-                    if number >= BURN_IN:
-                        mean += dishes.likes(history[number + 1])[0]
-                log = np.log10(mean / (len(history) - 1 - BURN_IN)).astype(np.float32)
-                count = dishes.of_word[dishes.up1[dishes.up0]]
-                for chunk, index in _unpack(asked)["asked"]:
-                    payload = _pack(log=log[index], count=count[index])
-                    yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([bucket], pa.int32()), pa.array([payload], pa.binary())], ["chunk", "bucket", "payload"])
-
-    return buckets.select("bucket", "dishes", "asked").mapInArrow(batches, "chunk long, bucket int, payload binary")
+            for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                yield from _table(_reports(Dishes(bucket, packed), 0, shards)).to_batches()
+
+    return buckets.select("bucket", "dishes").mapInArrow(batches, PARTS)
+
+
+def _sweep(buckets: DataFrame, told: DataFrame, model: dict, number: int, shards: int) -> DataFrame:
+    """Reports of all buckets after sweep `number` (from 1)."""
+
+    def swept(dishes: pa.Table, parts: pa.Table) -> pa.Table:
+        present, tables, seats = _told(parts)
+        own = Dishes(dishes["bucket"][0].as_py(), dishes["dishes"][0].as_py()).seated(seats[number - 1])
+        own.sweep(_local(model, tables[number - 1], present), number)
+        return _table(_reports(own, number, shards))
+
+    return buckets.select("bucket", "dishes").groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(swept, PARTS)
+
+
+def _answers(buckets: DataFrame, told: DataFrame, history: list[dict]) -> DataFrame:
+    """(chunk, bucket, payload): log10 of the averaged probability, and the word's count, of every dish that a chunk asked for."""
+
+    def answer(dishes: pa.Table, parts: pa.Table) -> pa.Table:
+        present, tables, seats = _told(parts)
+        bucket = dishes["bucket"][0].as_py()
+        own = Dishes(bucket, dishes["dishes"][0].as_py())
+        kept = range(BURN_IN + 1, len(history))
+        mean = sum(own.seated(seats[k]).likes(_local(history[k], tables[k], present))[0] for k in kept) / len(kept)
+        log, count = np.log10(mean).astype(np.float32), own.of_word[own.word_of]
+        asked = [(c, np.cumsum(i)) for c, i in _unpack(dishes["asked"][0].as_py())["asked"]]
+        payload = [_pack(log=log[i], count=count[i]) for _, i in asked]
+        return pa.table({"chunk": pa.array([c for c, _ in asked], pa.int64()), "bucket": pa.array([bucket] * len(asked), pa.int32()), "payload": pa.array(payload, pa.binary())})
+
+    return buckets.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(answer, "chunk long, bucket int, payload binary")
 
 
 def scores(docs: DataFrame) -> DataFrame:
@@ -284,17 +397,32 @@ def scores(docs: DataFrame) -> DataFrame:
     Null texts count as empty: their only token is the end.  Words that no learnable document has share one
     unknown word's probability.  With nothing to learn from, all words are unknown.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    kind = docs.schema["doc_id"].dataType
+    schema = f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     marked = docs.select("doc_id", "text", (~learnable(F.col("doc_id"))).alias("held"))
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    stored = store(chunks(marked, max(1, math.ceil(chars / BUCKET_CHARS))), "lm_chunks")
-    buckets = store(stored.where("bucket >= 0").groupBy("bucket").applyInArrow(_merge, "bucket int, dishes binary, asked binary"), "lm_buckets")
+    shards = max(1, math.ceil(chars / BUCKET_CHARS))
+    stored = store(chunks(marked, shards), "lm_chunks")
+    merged = stored.where("bucket >= 0").groupBy("bucket").applyInArrow(_merge, "bucket int, dishes binary, asked binary")
+    files = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = store_bucketed(merged.repartition(files, "bucket"), ["bucket"], files, "lm_buckets")
     if buckets.isEmpty():
         return docs.sparkSession.createDataFrame([], schema)
-    history = [_totals(buckets, [])]
-    for _ in range(SWEEPS):
-        history.append(_totals(buckets, history))
+    reports = store(_first_reports(buckets, shards), "lm_reports")
+    history = [_summed(reports, None)]
+    replies = store(reports.where("shard >= 0").groupBy("shard").applyInArrow(_plan, PARTS), "lm_contexts")
+    plan, customers = replies.where(F.col("bucket") == PLAN), replies.where(F.col("bucket") != PLAN)
+    told = customers
+    seen = []
+    for number in range(1, SWEEPS + 1):
+        seats = reports.where(F.col("shard") == SEATS)
+        reports = store(_sweep(buckets, told.unionByName(seats), history[-1], number, shards), "lm_reports")
+        history.append(_summed(reports, history[0]["discounts"]))
+        tables = plan.unionByName(reports.where("shard >= 0"))
+        tables = store(tables.groupBy("shard").applyInArrow(_shard_replies(number), PARTS), "lm_contexts")
+        told = customers.unionByName(tables)
+        if number > BURN_IN:
+            seen += [tables, reports.where(F.col("shard") == SEATS)]
     tokens, types = float(history[0]["tokens"]), float(history[0]["words"])
 
     def score(chunk: pa.Table, replies: pa.Table) -> pa.Table:
@@ -311,6 +439,7 @@ def scores(docs: DataFrame) -> DataFrame:
         }
         return pa.table(columns)
 
-    docs_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    docs_type = to_arrow_type(kind)
     own = stored.where("bucket < 0").groupBy("chunk")
-    return own.cogroup(_answers(buckets, history).groupBy("chunk")).applyInArrow(score, schema)
+    answers = _answers(buckets, reduce(DataFrame.unionByName, seen, customers), history)
+    return own.cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
