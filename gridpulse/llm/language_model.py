@@ -30,17 +30,17 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from gridpulse.llm.texts import store_bucketed
 from gridpulse.llm.words import LOWER, mix, slices, word_hashes, words
-from gridpulse.workspace import store
+from gridpulse.workspace import new_path, store
 
 CHUNK_TOKENS = 1 << 21
 #: Characters of text per bucket of words: the memory of a task, whatever the corpus.
-BUCKET_CHARS = 6_000_000
+BUCKET_CHARS = 12_000_000
 SWEEPS, BURN_IN = 4, 1
 #: Strength of every restaurant; discounts are estimated.
 THETA = 1.0
@@ -61,12 +61,27 @@ def _steps(x: np.ndarray) -> np.ndarray:
     return np.diff(x, prepend=x.dtype.type(0))
 
 
-def _pack(**arrays) -> bytes:
-    return zstandard.compress(pickle.dumps(arrays, protocol=5), 1)
+def _pack(**values) -> bytes:
+    """Values for one row.  Numbers are laid out byte by byte, first bytes first, as their high bytes are much alike."""
+    flat = {}
+    for name, x in values.items():
+        planes = isinstance(x, np.ndarray) and x.ndim == 1 and x.dtype.itemsize > 1
+        flat[name] = (x.dtype.str, x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes()) if planes else x
+    return zstandard.compress(pickle.dumps(flat, protocol=5), 1)
 
 
 def _unpack(packed: bytes) -> dict:
-    return pickle.loads(zstandard.decompress(packed))
+    values = pickle.loads(zstandard.decompress(packed))
+    for name, x in values.items():
+        if isinstance(x, tuple):
+            kind = np.dtype(x[0])
+            values[name] = np.frombuffer(x[1], np.uint8).reshape(kind.itemsize, -1).T.copy().view(kind).ravel()
+    return values
+
+
+def _rounded(x: np.ndarray) -> np.ndarray:
+    """Numbers with 16 bits behind the first, which pack better."""
+    return ((x.astype(np.float32).view(np.int32) + 64) & ~127).view(np.float32)
 
 
 def learnable(doc_id) -> F.Column:
@@ -97,7 +112,12 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _chunk_rows(chunk: int, ids: list, held: np.ndarray, doc: np.ndarray, word: np.ndarray, context: np.ndarray, buckets: int) -> pa.RecordBatch:
     """Rows of one chunk: its requests by bucket, and (bucket -1) its documents and which of them have which dish how often."""
     known, which = np.unique(word, return_inverse=True)
-    contexts, before = np.unique(context, return_inverse=True)
+    # a context follows from the word before, so only distinct words' contexts are sorted
+    first = context == START
+    of_word = np.zeros(len(known), np.uint64)
+    of_word[which[:-1][~first[1:]]] = context[1:][~first[1:]]
+    contexts, place = np.unique(np.r_[of_word, START], return_inverse=True)
+    before = np.where(first, place[-1], place[np.r_[0, which[:-1]]])
     dishes, dish = np.unique(which * len(contexts) + before, return_inverse=True)
     keys = np.sort((dish.astype(np.uint64) << np.uint64(24)) | doc.astype(np.uint64))
     doc = (keys & np.uint64(0xFFFFFF)).astype(np.uint32)
@@ -115,7 +135,7 @@ def _chunk_rows(chunk: int, ids: list, held: np.ndarray, doc: np.ndarray, word:
         near, place = np.unique(dish_context[a:b], return_inverse=True)
         out_bucket.append(int(bucket[a]))
         asked = {"contexts": _steps(contexts[near]), "context": place.astype(np.int32), "learned": learned[a:b]}
-        payload.append(_pack(words=known[own], counts=np.bincount(index).astype(np.int32), **asked))
+        payload.append(_pack(words=_steps(known[own]), counts=np.bincount(index).astype(np.int32), **asked))
     return pa.RecordBatch.from_arrays([pa.array([chunk] * len(payload), pa.int64()), pa.array(out_bucket, pa.int32()), pa.array(payload, pa.binary())], ["chunk", "bucket", "payload"])
 
 
@@ -143,13 +163,28 @@ def chunks(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select("doc_id", "text", "held").mapInArrow(batches, "chunk long, bucket int, payload binary")
 
 
+def _store_chunks(rows: DataFrame) -> tuple[DataFrame, DataFrame, str]:
+    """The chunks' documents and their requests, stored in one pass, and the folder of the requests alone."""
+    path = new_path(rows.sparkSession, "lm_chunks")
+    marked = rows.withColumn("part", F.when(F.col("bucket") < 0, "documents").otherwise("requests"))
+    marked.write.partitionBy("part").parquet(path)
+    stored = rows.sparkSession.read.schema(marked.schema).parquet(path)
+    parts = [stored.where(F.col("part") == k).drop("part") for k in ("documents", "requests")]
+    return *parts, f"{path}/part=requests"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 # --- buckets of words ---------------------------------------------------------------------------------------------
 
 
 def _merge(table: pa.Table) -> pa.Table:
     """All chunks' requests of one bucket as one table of dishes, and for each chunk which dishes it asked for."""
     asked = [(c, _unpack(p)) for c, p in sorted(zip(table["chunk"].to_pylist(), table["payload"].to_pylist()))]
-    word = np.concatenate([np.repeat(a["words"], a["counts"]) for _, a in asked])
+    word = np.concatenate([np.repeat(np.cumsum(a["words"]), a["counts"]) for _, a in asked])
     known, which = np.unique(word, return_inverse=True)
     contexts, place = np.unique(np.concatenate([np.cumsum(a["contexts"]) for _, a in asked]), return_inverse=True)
     before = np.cumsum([0, *(len(a["contexts"]) for _, a in asked)])
@@ -158,9 +193,9 @@ def _merge(table: pa.Table) -> pa.Table:
     dishes, index = np.unique(which * len(contexts) + context, return_inverse=True)
     count = np.bincount(index, weights=learned).astype(np.int64)
     sizes = np.cumsum([len(a["context"]) for _, a in asked])[:-1]
-    answers = [(c, _steps(i.astype(np.int32))) for (c, _), i in zip(asked, np.split(index, sizes))]
-    packed = _pack(word=(dishes // len(contexts)).astype(np.int32), context=(dishes % len(contexts)).astype(np.int32), count=count, contexts=_steps(contexts))
-    return pa.table({"bucket": table["bucket"][:1], "dishes": pa.array([packed], pa.binary()), "asked": pa.array([_pack(asked=answers)], pa.binary())})
+    answers = {str(c): _steps(i.astype(np.int32)) for (c, _), i in zip(asked, np.split(index, sizes))}
+    packed = _pack(word=_steps((dishes // len(contexts)).astype(np.int32)), context=(dishes % len(contexts)).astype(np.int32), count=count, contexts=_steps(contexts))
+    return pa.table({"bucket": table["bucket"][:1], "dishes": pa.array([packed], pa.binary()), "asked": pa.array([_pack(**answers)], pa.binary())})
 
 
 def seat(customers: np.ndarray, others: np.ndarray, parent: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -188,10 +223,11 @@ class Dishes:
 
     def __init__(self, bucket: int, packed: bytes):
         d = _unpack(packed)
-        self.bucket, self.word, self.contexts = bucket, d["word"], np.cumsum(d["contexts"])
+        word = np.cumsum(d["word"])
+        self.bucket, self.contexts = bucket, np.cumsum(d["contexts"])
         ending = (self.contexts & np.uint64(0xFFFF)).astype(np.int64)
         self.place = [d["context"]]
-        self.up, keys = [], d["word"].astype(np.int64) << 16 | ending[d["context"]]
+        self.up, keys = [], word << 16 | ending[d["context"]]
         for bits in (16, 8, 0):
             dishes, up = np.unique(keys, return_inverse=True)
             self.up.append(up)
@@ -217,8 +253,8 @@ class Dishes:
             self._send(level)
         return self
 
-    def by_context(self, level_values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.place[0], weights=level_values, minlength=len(self.contexts)).astype(np.int64)
+    def by_context(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.place[0], weights=values, minlength=len(self.contexts)).astype(np.int64)
 
     def totals(self) -> dict:
         """What all buckets must know: tables by ending and level, customers of the two-byte endings, known words, tokens, once and twice seen dishes."""
@@ -306,7 +342,7 @@ def _table(rows: list[tuple[int, int, bytes]]) -> pa.Table:
 
 def _reports(dishes: Dishes, number: int, shards: int) -> list[tuple[int, int, bytes]]:
     """What a bucket writes after a sweep: its seats, its totals by ending, and for each shard the tables in the contexts it has there."""
-    rows = [(dishes.bucket, SEATS, _pack(number=number, tables=[t.astype(np.int32) for t in dishes.tables])), (dishes.bucket, TOTALS, _pack(**dishes.totals()))]
+    rows = [(dishes.bucket, SEATS, _pack(number=number, **{f"tables{k}": t.astype(np.int32) for k, t in enumerate(dishes.tables)})), (dishes.bucket, TOTALS, _pack(**dishes.totals()))]
     shard = ((dishes.contexts >> np.uint64(16)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
     edges = np.r_[0, np.flatnonzero(np.diff(shard)) + 1, len(shard)]
     tables, customers = dishes.by_context(dishes.tables[0]), dishes.by_context(dishes.customers[0])
@@ -323,7 +359,7 @@ def _plan(table: pa.Table) -> pa.Table:
     contexts, index = np.unique(np.concatenate([np.cumsum(r["contexts"]) for _, r in own]), return_inverse=True)
     parts = np.split(index, np.cumsum([len(r["contexts"]) for _, r in own])[:-1])
     tables, customers = (np.bincount(index, weights=np.concatenate([r[k] for _, r in own])).astype(np.int64) for k in ("tables", "customers"))
-    rows = [(PLAN, shard, _pack(contexts=len(contexts), parts={b: _steps(i.astype(np.int32)) for (b, _), i in zip(own, parts)}))]
+    rows = [(PLAN, shard, _pack(contexts=len(contexts), **{str(b): _steps(i.astype(np.int32)) for (b, _), i in zip(own, parts)}))]
     rows += [(b, shard, _pack(number=0, tables=tables[i], present=customers[i])) for (b, _), i in zip(own, parts)]
     return _table(rows)
 
@@ -335,8 +371,8 @@ def _shard_replies(number: int):
         shard = table["shard"][0].as_py()
         own = {b: _unpack(p) for b, p in zip(table["bucket"].to_pylist(), table["payload"].to_pylist())}
         plan = own.pop(PLAN)
-        parts = {b: np.cumsum(i) for b, i in plan["parts"].items()}
-        tables = np.zeros(plan["contexts"], np.int64)
+        tables = np.zeros(plan.pop("contexts"), np.int64)
+        parts = {int(b): np.cumsum(i) for b, i in plan.items()}
         for b, i in parts.items():
             tables[i] += own[b]["tables"]  # a bucket has a context once
         return _table([(b, shard, _pack(number=number, tables=tables[i])) for b, i in parts.items()])
@@ -347,7 +383,7 @@ def _shard_replies(number: int):
 def _told(parts: pa.Table) -> tuple[np.ndarray, dict[int, np.ndarray], dict[int, list[np.ndarray]]]:
     """What a bucket is told: customers by context, tables by context and seats by sweep."""
     rows = sorted(((s, _unpack(p)) for s, p in zip(parts["shard"].to_pylist(), parts["payload"].to_pylist())), key=lambda r: (r[0], r[1]["number"]))
-    seats = {r["number"]: r["tables"] for s, r in rows if s == SEATS}
+    seats = {r["number"]: [r[f"tables{k}"] for k in range(LEVELS)] for s, r in rows if s == SEATS}
     answers = [r for s, r in rows if s >= 0]
     tables = {k: np.concatenate([r["tables"] for r in answers if r["number"] == k]) for k in {r["number"] for r in answers}}
     return np.concatenate([r["present"] for r in answers if "present" in r]), tables, seats
@@ -383,8 +419,8 @@ def _answers(buckets: DataFrame, told: DataFrame, history: list[dict]) -> DataFr
         own = Dishes(bucket, dishes["dishes"][0].as_py())
         kept = range(BURN_IN + 1, len(history))
         mean = sum(own.seated(seats[k]).likes(_local(history[k], tables[k], present))[0] for k in kept) / len(kept)
-        log, count = np.log10(mean).astype(np.float32), own.of_word[own.word_of]
-        asked = [(c, np.cumsum(i)) for c, i in _unpack(dishes["asked"][0].as_py())["asked"]]
+        log, count = _rounded(np.log10(mean)), own.of_word[own.word_of]
+        asked = [(int(c), np.cumsum(i)) for c, i in _unpack(dishes["asked"][0].as_py()).items()]
         payload = [_pack(log=log[i], count=count[i]) for _, i in asked]
         return pa.table({"chunk": pa.array([c for c, _ in asked], pa.int64()), "bucket": pa.array([bucket] * len(asked), pa.int32()), "payload": pa.array(payload, pa.binary())})
 
@@ -402,10 +438,11 @@ def scores(docs: DataFrame) -> DataFrame:
     marked = docs.select("doc_id", "text", (~learnable(F.col("doc_id"))).alias("held"))
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(1, math.ceil(chars / BUCKET_CHARS))
-    stored = store(chunks(marked, shards), "lm_chunks")
-    merged = stored.where("bucket >= 0").groupBy("bucket").applyInArrow(_merge, "bucket int, dishes binary, asked binary")
-    files = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = store_bucketed(merged.repartition(files, "bucket"), ["bucket"], files, "lm_buckets")
+    stored, requests, requests_folder = _store_chunks(chunks(marked, shards))
+    merged = requests.groupBy("bucket").applyInArrow(_merge, "bucket int, dishes binary, asked binary")
+    # grouping has dealt the buckets to tasks as the table does, so each of its files is written by one task
+    buckets = store_bucketed(merged, ["bucket"], int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "lm_buckets")
+    _delete(docs.sparkSession, requests_folder)  # all of them are in the buckets' table now
     if buckets.isEmpty():
         return docs.sparkSession.createDataFrame([], schema)
     reports = store(_first_reports(buckets, shards), "lm_reports")
@@ -440,6 +477,6 @@ def scores(docs: DataFrame) -> DataFrame:
         return pa.table(columns)
 
     docs_type = to_arrow_type(kind)
-    own = stored.where("bucket < 0").groupBy("chunk")
+    own = stored.groupBy("chunk")
     answers = _answers(buckets, reduce(DataFrame.unionByName, seen, customers), history)
     return own.cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
