@@ -40,7 +40,7 @@ from gridpulse.workspace import new_path, store
 
 CHUNK_TOKENS = 1 << 21
 #: Characters of text per bucket of words: the memory of a task, whatever the corpus.
-BUCKET_CHARS = 12_000_000
+BUCKET_CHARS = 8_000_000
 SWEEPS, BURN_IN = 4, 1
 #: Strength of every restaurant; discounts are estimated.
 THETA = 1.0
