@@ -6,6 +6,7 @@ analysis with global windows; the engine's block-wise plans must agree with it.
 
 from __future__ import annotations
 
+from checks.queries import SHARED_SCAN
 from gridpulse.operators import correlation, findings, rules
 from gridpulse.operators.summaries import METRIC_LABELS
 from gridpulse.schema import METRICS, NORMALIZED
@@ -890,6 +891,7 @@ own_stats AS (SELECT metric, avg(x) AS mean, stddev_samp(x) AS std, quantile_con
     last = "ORDER BY row_idx ROWS BETWEEN 4999 PRECEDING AND CURRENT ROW)"
     twins["rolling_5000"] = over("feat", f"SELECT event_id, {long} FROM feat WINDOW w AS ({last}")
     twins["rolling_5000_by_host"] = over("raw", f"SELECT event_id, host_id, {long} FROM raw WINDOW w AS (PARTITION BY host_id {last}")
+    twins |= {f"shared_{name}": twins[key] for name, key in SHARED_SCAN.items()}
     for r in rules.RULES:
         twins[f"rule_{r.id}"] = over(
             "bn",

@@ -15,6 +15,7 @@ from gridpulse.functions.rounding import denoise, stable
 from gridpulse.operators import anomalies, cleaning, correlation, features, findings, long_frames, rules, shaping, summaries
 from gridpulse.operators.sequence import Sequence
 from gridpulse.plans import catalog
+from gridpulse.plans.report import ReportCells
 from gridpulse.plans.run import Run, analyse, prepare
 from gridpulse.plans.stored import open_run, save_run
 from gridpulse.schema import (
@@ -170,6 +171,36 @@ def _on_run(build: Callable[[Run], DataFrame]) -> Callable[[SparkSession, str],
     return lambda spark, sf_dir: build(run_of(spark, sf_dir))
 
 
+#: Report tables from one scan of each input, and the queries that derive the same ones from the inputs themselves.
+SHARED_SCAN = {
+    "header": "report_header", "kpi": "kpi_row", "metric_summary": "metric_summary", "hourly_averages": "hourly_averages",
+    "power_by_workload": "power_by_workload_chart", "workload_distribution": "workload_distribution", "gauges": "health_gauges",
+    "bottlenecks": "report_issue_levels", "bottleneck_summary": "bn_summary", "anomaly_totals": "an_totals",
+    "anomalies": "an_by_metric", "anomaly_summary": "an_summary", "inputs": "finding_inputs",
+}
+FINDING_INPUTS = (
+    "total_rows", "avg_temp", "max_temp", "avg_power", "bottlenecks", "gpu", "memory",
+    "memory_critical", "thermal", "throttle", "power", "peak_from", "peak_to", "confirmed",
+    "high", "top_metric", "pct_safe",
+)
+_cells: dict[tuple[str, str], ReportCells] = {}
+
+
+def _shared_scan(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A report table from the cells of a run, which are counted when first asked for."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key, run = (spark.sparkContext.applicationId, sf_dir), run_of(spark, sf_dir)
+        if key not in _cells:
+            _cells[key] = ReportCells.scan(run.metrics.rows, run.bottlenecks, run.anomalies)
+        table = _cells[key].table(name)
+        if name == "inputs":
+            return table.select(*FINDING_INPUTS)
+        return _maps_as_text(table) if name in ("bottleneck_summary", "anomaly_summary") else table
+
+    return query
+
+
 ANOMALY_COLUMNS = (
     ID, TS, "metric", "value", "z_score", "zscore_flag", "iqr_flag", "rolling_flag",
     "methods_flagged", "confidence", "is_anomaly",
@@ -406,6 +437,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # report
         "health_score": _on_all(lambda m, b, a: summaries.health_score(b, a)),
         "report_header": _on_all(summaries.report_header),
+        **{f"shared_{name}": _shared_scan(name) for name in SHARED_SCAN},
         # SQL library
         "q1_usage_by_workload": _canned("usage_by_workload"),
         "q2_hot_windows": _canned("hot_windows"),
@@ -421,11 +453,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "offpeak_gpu": _on_metrics(findings.offpeak_gpu),
         "training_balance": _on_metrics(findings.training_balance),
         "finding_inputs": _on_all(
-            lambda m, b, a: findings.finding_inputs(m, b, a).select(
-                "total_rows", "avg_temp", "max_temp", "avg_power", "bottlenecks", "gpu", "memory",
-                "memory_critical", "thermal", "throttle", "power", "peak_from", "peak_to", "confirmed",
-                "high", "top_metric", "pct_safe",
-            )
+            lambda m, b, a: findings.finding_inputs(m, b, a).select(*FINDING_INPUTS)
         ),
         "strategy_inputs": _on_all(
             lambda m, b, a: findings.finding_inputs(m, b, a).select(

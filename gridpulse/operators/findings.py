@@ -141,7 +141,11 @@ def metric_inputs(metrics: DataFrame) -> DataFrame:
 
 def bottleneck_inputs(bottlenecks: DataFrame) -> DataFrame:
     """Event counts and the busiest GPU hours, from one (issue, hour) histogram."""
-    histogram = bottlenecks.groupBy("issue", F.hour(TS).alias("hour")).agg(F.count(F.lit(1)).alias("cnt"))
+    return issue_inputs(bottlenecks.groupBy("issue", F.hour(TS).alias("hour")).agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def issue_inputs(histogram: DataFrame) -> DataFrame:
+    """The same from the histogram (issue, hour, cnt)."""
     gpu_hour = F.when(F.col("issue") == "GPU Bottleneck", F.struct(-F.col("cnt"), F.col("hour")))
     by_size = F.sort_array(F.collect_list(gpu_hour))  # at most 24 entries
     named = F.transform(F.slice(by_size, 1, PEAK_HOURS_NAMED), lambda e: e["hour"])
@@ -168,6 +172,11 @@ def anomaly_inputs(anomalies: DataFrame) -> DataFrame:
     counted = anomalies.groupBy("metric").agg(
         F.count_if("is_anomaly").alias("hits"), F.count_if(F.col("confidence") == "high").alias("high")
     )
+    return hit_inputs(counted)
+
+
+def hit_inputs(counted: DataFrame) -> DataFrame:
+    """The same from counts by metric (metric, hits, high)."""
     ranked = F.sort_array(F.collect_list(F.when(F.col("hits") > 0, F.struct(-F.col("hits"), F.col("metric")))))
     return counted.agg(
         F.coalesce(F.sum("hits"), F.lit(0)).alias("confirmed"),
@@ -178,11 +187,15 @@ def anomaly_inputs(anomalies: DataFrame) -> DataFrame:
 
 def finding_inputs(metrics: DataFrame, bottlenecks: DataFrame, anomalies: DataFrame) -> DataFrame:
     """One row with every number the texts need."""
-    row = metric_inputs(metrics)
+    return joined_inputs(metric_inputs(metrics), bottleneck_inputs(bottlenecks), anomaly_inputs(anomalies))
+
+
+def joined_inputs(row: DataFrame, of_bottlenecks: DataFrame, of_anomalies: DataFrame) -> DataFrame:
+    """Three single rows as one, with the share of safe rows."""
     names = row.columns
     return (
-        row.withColumn("_b", bottleneck_inputs(bottlenecks).select(F.struct("*")).scalar())
-        .withColumn("_a", anomaly_inputs(anomalies).select(F.struct("*")).scalar())
+        row.withColumn("_b", of_bottlenecks.select(F.struct("*")).scalar())
+        .withColumn("_a", of_anomalies.select(F.struct("*")).scalar())
         .select(*names, "_b.*", "_a.*")
         .withColumn("pct_safe", half_even((1 - F.try_divide("thermal", "total_rows")) * 100, 1))
     )

@@ -77,10 +77,15 @@ def _total(cells: Column) -> Column:
 
 def bottleneck_summary(bottlenecks: DataFrame) -> DataFrame:
     """One row: total, by_type, by_severity, most_affected_hours; zero and empty maps without events."""
+    return summary_of_issues(_histogram(bottlenecks, "issue", "severity", _hour()))
+
+
+def summary_of_issues(histogram: DataFrame) -> DataFrame:
+    """The same from one row of cells (issue, severity, hour, event_count)."""
     cells = F.col("cells")
     by_size = F.array_sort(F.transform(_count_by(cells, "hour"), lambda e: F.struct((-e["event_count"]).alias("less"), e["key"].alias("key"))))
     top = F.transform(F.slice(by_size, 1, 5), lambda e: F.struct(e["key"].alias("key"), (-e["less"]).alias("event_count")))
-    return _histogram(bottlenecks, "issue", "severity", _hour()).select(
+    return histogram.select(
         _total(cells).alias("total"),
         F.map_from_entries(_count_by(cells, "issue")).alias("by_type"),
         F.map_from_entries(_count_by(cells, "severity")).alias("by_severity"),
@@ -107,8 +112,12 @@ def issue_counts(bottlenecks: DataFrame) -> DataFrame:
 
 def report_issue_levels(bottlenecks: DataFrame) -> DataFrame:
     """Issue counts with the level the report shows, which also looks at frequency."""
+    return with_report_level(bottlenecks_by_type(bottlenecks))
+
+
+def with_report_level(counts: DataFrame) -> DataFrame:
     critical = F.col("issue").contains("Critical") | (F.col("event_count") > REPORT_CRITICAL_ABOVE)
-    return bottlenecks_by_type(bottlenecks).withColumn(
+    return counts.withColumn(
         "report_level", F.when(critical, "Critical").otherwise("Warning")
     )
 
@@ -143,9 +152,14 @@ def anomaly_totals(anomalies: DataFrame) -> DataFrame:
 
 def anomaly_summary(anomalies: DataFrame) -> DataFrame:
     """One row: totals and maps by metric, confidence and hour; empty maps without anomalies."""
+    return summary_of_hits(_histogram(anomalies, "metric", "confidence", "is_anomaly", _hour()))
+
+
+def summary_of_hits(histogram: DataFrame) -> DataFrame:
+    """The same from one row of cells (metric, confidence, is_anomaly, hour, event_count)."""
     cells = F.col("cells")
     confirmed = F.filter(cells, lambda c: c["is_anomaly"])
-    return _histogram(anomalies, "metric", "confidence", "is_anomaly", _hour()).select(
+    return histogram.select(
         _total(cells).alias("total"),
         _total(confirmed).alias("confirmed"),
         F.map_from_entries(_count_by(confirmed, "metric")).alias("by_metric"),
@@ -180,7 +194,7 @@ def kpi_row(metrics: DataFrame, bottlenecks: DataFrame, anomalies: DataFrame) ->
     )
 
 
-def _long(row: DataFrame, columns: list[str], stats: dict[str, str], label=lambda c: c) -> DataFrame:
+def long_stats(row: DataFrame, columns: list[str], stats: dict[str, str], label=lambda c: c) -> DataFrame:
     """Turn one wide row of `<stat>_<column>` cells into one row per column."""
     cells = [
         F.struct(
@@ -198,7 +212,7 @@ def metric_summary(metrics: DataFrame) -> DataFrame:
     row = metrics.agg(
         *[stable(f(c), 1).alias(f"{s}_{c}") for c in columns for s, f in functions.items()]
     )
-    return _long(row, columns, {s: s for s in functions}, METRIC_LABELS.get)
+    return long_stats(row, columns, {s: s for s in functions}, METRIC_LABELS.get)
 
 
 def hourly_averages(metrics: DataFrame) -> DataFrame:
@@ -232,7 +246,11 @@ def health_gauges(metrics: DataFrame) -> DataFrame:
     gauges = [g for g in GAUGES if g[1] in metrics.columns]
     if not gauges:
         return metrics.sparkSession.createDataFrame([], "gauge string, value double, status string")
-    row = metrics.agg(*[F.avg(c).alias(c) for _, c, _, _ in gauges])
+    return gauges_of(metrics.agg(*[F.avg(c).alias(c) for _, c, _, _ in gauges]))
+
+
+def gauges_of(row: DataFrame) -> DataFrame:
+    """The gauges of those metrics whose means the row has."""
 
     def gauge(name: str, c: str, good: int, warn: int) -> Column:
         mean = denoise(F.col(c))
@@ -240,7 +258,7 @@ def health_gauges(metrics: DataFrame) -> DataFrame:
         status = F.when(value <= good, "good").when(value <= warn, "warn").otherwise("critical")
         return F.struct(F.lit(name).alias("gauge"), value.alias("value"), status.alias("status"))
 
-    return row.select(F.inline(F.array(*[gauge(*g) for g in gauges])))
+    return row.select(F.inline(F.array(*[gauge(*g) for g in GAUGES if g[1] in row.columns])))
 
 
 def describe_metrics(metrics: DataFrame) -> DataFrame:
@@ -261,7 +279,7 @@ def describe_metrics(metrics: DataFrame) -> DataFrame:
         {f"{q}_{c}": denoise(F.col(f"_q.{c}")[k]) for c in columns for q, k in names.items()}
     )
     order = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
-    return _long(row, columns, {s: s for s in order})
+    return long_stats(row, columns, {s: s for s in order})
 
 
 # -- report ----------------------------------------------------------------------------
@@ -288,6 +306,10 @@ def health_score(bottlenecks: DataFrame, anomalies: DataFrame) -> DataFrame:
     totals = bottlenecks.agg(F.count(F.lit(1)).alias("total_bottlenecks")).withColumn(
         "total_anomalies", anomalies.agg(F.count_if(F.col("is_anomaly"))).scalar()
     )
+    return with_score(totals)
+
+
+def with_score(totals: DataFrame) -> DataFrame:
     return totals.withColumn("health_score", _score(F.col("total_bottlenecks") + F.col("total_anomalies")))
 
 
