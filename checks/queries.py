@@ -384,7 +384,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "anomalies_confirmed": _on_anomalies(lambda a: anomalies.confirmed(a).select(*ANOMALY_COLUMNS)),
         # correlation
-        "corr_pearson": _on_metrics(correlation.guarded_pearson),
+        "corr_pearson": _on_run(lambda r: correlation.guarded_pearson(r.correlated)),
         "own_pairs": _on_run(_own_pairs),
         "corr_small_sample": _on_run(_per_hour_correlation),
         "corr_spearman": _on_run(_spearman),
@@ -393,11 +393,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda r: correlation.correlations_by_workload(r.metrics, r.ranks)
         ),
         "corr_report": _on_run(lambda r: r.correlations.drop("by_workload", "pearson_p", "spearman_p")),
-        "corr_matrix": _on_metrics(correlation.correlation_matrix),
-        "corr_matrix_wide": _on_metrics(
-            lambda m: correlation.matrix_wide(correlation.correlation_matrix(m))
+        "corr_matrix": _on_run(lambda r: correlation.correlation_matrix(r.correlated)),
+        "corr_matrix_wide": _on_run(
+            lambda r: correlation.matrix_wide(correlation.correlation_matrix(r.correlated))
         ),
-        "corr_heatmap": _on_metrics(lambda m: correlation.heatmap_cells(correlation.correlation_matrix(m))),
+        "corr_heatmap": _on_run(lambda r: correlation.heatmap_cells(correlation.correlation_matrix(r.correlated))),
         "corr_strong_pairs": _on_run(
             lambda r: r.correlations.where("strength = 'Strong'").orderBy("pair_ord").limit(4)
             .select("pair", "x_col", "y_col", "pearson_r")

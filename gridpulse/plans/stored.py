@@ -44,4 +44,4 @@ def open_run(spark: SparkSession, path: str) -> Run:
     about = spark.read.schema(ABOUT).json(f"{folder}/about").first()
     tables = {n: spark.read.schema(StructType.fromJson(json.loads(s))).parquet(f"{folder}/{n}") for n, s in about.schemas.items()}
     metrics = Sequence(tables["system_metrics"], about.length, about.block, tuple(about.keys))
-    return Run(raw=tables["raw"], metrics=metrics, bottlenecks=tables["bottlenecks"], anomalies=tables["anomalies"])
+    return Run(tables["raw"], metrics, given=tables)
