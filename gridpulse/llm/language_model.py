@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from gridpulse.llm.memory import give_back, given_back
 from gridpulse.llm.texts import store_bucketed
 from gridpulse.llm.words import LOWER, mix, slices, word_hashes, words
 from gridpulse.workspace import new_path, store
@@ -109,21 +110,40 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.repeat(np.arange(n), np.diff(bounds) + 1), word, context
 
 
-def _chunk_rows(chunk: int, ids: list, held: np.ndarray, doc: np.ndarray, word: np.ndarray, context: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Rows of one chunk: its requests by bucket, and (bucket -1) its documents and which of them have which dish how often."""
-    known, which = np.unique(word, return_inverse=True)
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, and of each value its number among them, in half the memory."""
+    distinct, which = np.unique(values, return_inverse=True)
+    return distinct, which.astype(np.int32)
+
+
+def _chunk_rows(chunk: int, ids: list, held: np.ndarray, pieces: list[tuple], buckets: int) -> pa.RecordBatch:
+    """Rows of one chunk: its requests by bucket, and (bucket -1) its documents and which of them have which dish how often.
+
+    `pieces` (documents, words, contexts) is emptied: a chunk's numbers are held once, and no longer than they are needed.
+    """
+    doc, word, context = map(np.concatenate, zip(*pieces))
+    pieces.clear()
+    known, which = _numbered(word)
+    del word
     # a context follows from the word before, so only distinct words' contexts are sorted
     first = context == START
     of_word = np.zeros(len(known), np.uint64)
     of_word[which[:-1][~first[1:]]] = context[1:][~first[1:]]
     contexts, place = np.unique(np.r_[of_word, START], return_inverse=True)
-    before = np.where(first, place[-1], place[np.r_[0, which[:-1]]])
-    dishes, dish = np.unique(which * len(contexts) + before, return_inverse=True)
-    keys = np.sort((dish.astype(np.uint64) << np.uint64(24)) | doc.astype(np.uint64))
+    del context, of_word
+    dish = np.roll(place.astype(np.int64)[which], 1)
+    dish[first] = place[-1]
+    dish += which.astype(np.int64) * len(contexts)
+    del which, first
+    dishes, dish = _numbered(dish)
+    keys = (dish.astype(np.uint64) << np.uint64(24)) | doc
+    del dish
+    keys.sort()
     doc = (keys & np.uint64(0xFFFFFF)).astype(np.uint32)
-    dish_key = keys >> np.uint64(24)
-    heads = np.flatnonzero(np.r_[True, dish_key[1:] != dish_key[:-1]])
+    keys >>= np.uint64(24)
+    heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     tokens = np.diff(np.r_[heads, len(keys)]).astype(np.int32)
+    del keys
     learned = np.add.reduceat((~held[doc]).astype(np.int32), heads)
     dish_word, dish_context = dishes // len(contexts), dishes % len(contexts)
     # the words are sorted by hash, so those of a bucket stand together
@@ -150,17 +170,17 @@ def chunks(docs: DataFrame, buckets: int) -> DataFrame:
             for first, data, offsets in slices(batch.column(1)):
                 doc, word, context = _tokens(data, offsets)
                 n = len(offsets) - 1
-                pieces.append((doc + len(ids), word, context))
+                pieces.append(((doc + len(ids)).astype(np.uint32), word, context))
                 ids += all_ids[first : first + n]
                 held += all_held[first : first + n]
                 waiting += len(word)
                 if waiting >= CHUNK_TOKENS:
-                    yield _chunk_rows(part << 32 | seq, ids, np.array(held), *map(np.concatenate, zip(*pieces)), buckets)
-                    ids, held, pieces, waiting, seq = [], [], [], 0, seq + 1
+                    yield _chunk_rows(part << 32 | seq, ids, np.array(held), pieces, buckets)
+                    ids, held, waiting, seq = [], [], 0, seq + 1
         if ids:
-            yield _chunk_rows(part << 32 | seq, ids, np.array(held), *map(np.concatenate, zip(*pieces)), buckets)
+            yield _chunk_rows(part << 32 | seq, ids, np.array(held), pieces, buckets)
 
-    return docs.select("doc_id", "text", "held").mapInArrow(batches, "chunk long, bucket int, payload binary")
+    return docs.select("doc_id", "text", "held").mapInArrow(given_back(batches), "chunk long, bucket int, payload binary")
 
 
 def _store_chunks(rows: DataFrame) -> tuple[DataFrame, DataFrame, str]:
