@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridpulse.llm.memory import given_back
 from gridpulse.llm.texts import KEYS, owners, store_distinct, text_keys, with_texts
 from gridpulse.llm.words import LOWER, WORDS_BASE, mix, slices, windows, word_hashes, words
 from gridpulse.workspace import store
@@ -92,7 +93,7 @@ def signatures(texts: DataFrame, size: int) -> DataFrame:
                 ids = batch.column(1).slice(first, n)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(sizes), _lists(bands), _lists(sketch)], ["id", "n_shingles", "bands", "sketch"])
 
-    return texts.select("text", "id").mapInArrow(batches, f"id long, {SIZES}, bands array<long>, sketch array<long>")
+    return texts.select("text", "id").mapInArrow(given_back(batches), f"id long, {SIZES}, bands array<long>, sketch array<long>")
 
 
 def _full_sets(texts: DataFrame, size: int) -> DataFrame:
@@ -107,7 +108,7 @@ def _full_sets(texts: DataFrame, size: int) -> DataFrame:
                 sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(first, n), sets], ["id", "set"])
 
-    return texts.select("text", "id").mapInArrow(batches, "id long, set array<long>")
+    return texts.select("text", "id").mapInArrow(given_back(batches), "id long, set array<long>")
 
 
 def _bits_apart(a: Column, b: Column) -> Column:
