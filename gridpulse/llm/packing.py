@@ -32,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridpulse.llm.memory import given_back
 from gridpulse.llm.tokens import ids_of_words, public_path
 from gridpulse.workspace import store
 
@@ -83,7 +84,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
             yield pa.RecordBatch.from_pydict(out)
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, _part int, _nth long{ids_column}"
-    return store(docs.select("doc_id", "text").mapInArrow(cut, schema), "pieces")
+    return store(docs.select("doc_id", "text").mapInArrow(given_back(cut), schema), "pieces")
 
 
 # -- the plan ------------------------------------------------------------------------

@@ -21,7 +21,8 @@ JOINED = 512
 
 # A space after one of these is no safe cut: some engines count it as white space, and white space belongs to what follows.
 _WHITE = r"[\s\x00-\x20\x7f-\xa0" + "\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]"
-_UNSAFE, _UNSAFE_END = re.compile(_WHITE + r" |\A | \Z"), re.compile(_WHITE)
+# The space is looked for first: a pattern that begins with a class and has branches is tried at every character.
+_UNSAFE, _UNSAFE_END = re.compile(f" (?<={_WHITE} )"), re.compile(_WHITE)
 
 
 def public_path(name: str) -> str:
@@ -44,7 +45,7 @@ def tokenizer(path: str, plain_specials: bool):
 def chunks(text: str) -> list[str]:
     """Pieces that, each with a space in front, make up `" " + text`, cut only where the character before the space is not white."""
     pieces = text.split(" ")
-    if not _UNSAFE.search(text):
+    if pieces[0] and pieces[-1] and not _UNSAFE.search(text):
         return pieces
     out: list[str] = []
     held: list[str] = []
@@ -73,7 +74,7 @@ class Remembered:
 
     def of(self, wanted: set[str]) -> dict[str, object]:
         """A table that has at least the wanted chunks."""
-        new = list(wanted - self.known.keys())
+        new = list(wanted.difference(self.known))
         if len(self.known) + len(new) > self.most or self.chars > REMEMBERED_CHARS:
             self.known, self.chars, new = {}, 0, list(wanted)
         for k in range(0, len(new), self.at_once):
@@ -83,7 +84,8 @@ class Remembered:
 
 
 _LETTERS = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481\u048a-\u04ff"
-_WORD, _STOP = re.compile(f"[{_LETTERS}]+"), re.compile(f"(?<=[{_LETTERS}0-9])([.,]) ")
+# The stop is looked for first: a pattern that begins with a look behind is tried at every character.
+_WORD, _STOP = re.compile(f"[{_LETTERS}]+"), re.compile(f"([.,])(?<=[{_LETTERS}0-9][.,]) ")
 _WORD_END = "</w>"
 
 
@@ -92,30 +94,32 @@ def ids_of_words(path: str) -> Callable[[list[str]], list[bytes]]:
 
     Such a tokenizer never joins a word and the stop behind it.
     """
-    made = tokenizer(path, plain_specials=False)
+    made, whole = tokenizer(path, plain_specials=False), _WORD.fullmatch
     ends_word = np.array([(made.id_to_token(k) or "").endswith(_WORD_END) for k in range(made.get_vocab_size())])
 
     def separately(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in made.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def jointly(words: list[str]) -> list[bytes]:
+    def jointly(words: list[str]) -> Iterable[bytes]:
         """Words of letters only have one word end each."""
         ids = np.array(made.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        ends = (4 * (np.flatnonzero(ends_word[ids]) + 1)).tolist()
-        raw = ids.tobytes()
-        return [raw[i:j] for i, j in zip([0, *ends], ends)] if len(ends) == len(words) else separately(words)
+        ends = np.flatnonzero(ends_word[ids]) + 1
+        raw, at = ids.tobytes(), (4 * ends).tolist()
+        return map(raw.__getitem__, map(slice, [0, *at], at)) if len(ends) == len(words) else separately(words)
 
     def encode(some: list[str]) -> Iterator[tuple[str, bytes]]:
-        words = list(filter(_WORD.fullmatch, some))
-        others = list(set(some).difference(words)) if len(words) < len(some) else []
+        words, others = [], []
+        for c in some:
+            (words if whole(c) else others).append(c)
         yield from zip(words, jointly(words))
-        yield from zip(others, separately(others))
+        if others:
+            yield from zip(others, separately(others))
 
     remembered = Remembered(encode, JOINED, 2 * REMEMBERED)  # ids take little room
 
     def ids(texts: list[str]) -> list[bytes]:
         cut = [_STOP.sub(r" \1 ", t.replace("\n", " ")).split(" ") for t in texts]
-        known = remembered.of(set().union(*cut))
-        return [b"".join([known[c] for c in pieces]) for pieces in cut]
+        known = remembered.of(set().union(*cut)).__getitem__
+        return [b"".join(map(known, pieces)) for pieces in cut]
 
     return ids
