@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridpulse.llm.memory import given_back
 from gridpulse.llm.texts import KEYS, text_keys
 from gridpulse.llm.tokens import JOINED, Remembered, chunks, public_path, safe_end, tokenizer
 from gridpulse.workspace import store
@@ -97,7 +98,7 @@ class _Digits:
 
 
 #: What is known of a chunk: how many tokens of the first kind it has, the pairs of its links, its groups; None if it does not come back.
-_Chunk = tuple[int, np.ndarray, bytes] | None
+_Chunk = tuple[int, bytes, bytes] | None
 
 
 class Aligner:
@@ -119,7 +120,7 @@ class Aligner:
                 yield None
                 continue
             tokens_a, parts, texts_of = zip(*found)
-            n_a, pairs, groups = sum(tokens_a), np.concatenate(parts), b"".join(texts_of)
+            n_a, pairs, groups = sum(tokens_a), np.frombuffer(b"".join(parts), np.int64), b"".join(texts_of)
             n_groups = groups.count(b";")
             tokens = groups.count(b",") + 2 * n_groups  # one separator behind each token; a group ends one of either kind
             yield (n_a, tokens - n_a, n_groups, len(pairs)), pairs, sha256(groups[:-1]).hexdigest()
@@ -151,10 +152,10 @@ class Aligner:
         text, at = self._groups(flat, ends_a, ends_b, common)
         last_a, last_b, last_cut = (np.searchsorted(x, bounds, side="right") for x in (ends_a, ends_b, cuts))
         text_end = at[last_a + last_b - 1].tolist()  # a chunk's tokens of both kinds come together
-        tokens_a, raw = np.diff(last_a, prepend=0).tolist(), text.tobytes()
+        tokens_a, raw, links = np.diff(last_a, prepend=0).tolist(), text.tobytes(), pairs.astype(np.int64).tobytes()
         first = text_first = 0
         for chunk, n_a, cut, end in zip(kept, tokens_a, last_cut.tolist(), text_end):
-            out[chunk] = (n_a, pairs[first:cut], raw[text_first:end])
+            out[chunk] = (n_a, links[8 * first : 8 * cut], raw[text_first:end])
             first, text_first = cut, end
         return out
 
@@ -267,7 +268,7 @@ def aligned_texts(docs: DataFrame, path_a: str, path_b: str, block_bytes: int =
     """The stored alignments of all distinct texts, and a row of pair counts per block."""
     copies = docs.where("text <> ''").groupBy("text").agg(F.count("*").alias("copies"))
     keyed = copies.select("text", *text_keys(F.col("text")), "copies")
-    return store(keyed.mapInArrow(_blocks(path_a, path_b, block_bytes), _ALIGNED), "aligned")
+    return store(keyed.mapInArrow(given_back(_blocks(path_a, path_b, block_bytes)), _ALIGNED), "aligned")
 
 
 def text_measures(aligned: DataFrame) -> DataFrame:
@@ -277,7 +278,7 @@ def text_measures(aligned: DataFrame) -> DataFrame:
     texts = aligned.where(F.col("key1").isNotNull()).drop("pairs", "counts")
     led = texts.unionByName(heads, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", F.col("asked").isNull())
     columns = ", ".join(f"{c} long" for c in (*KEYS, *MEASURES)) + ", groups_sha256 string, " + ", ".join(f"{c} long" for c in _SUMS)
-    return led.select("asked", *KEYS, *MEASURES, "groups_sha256", "links").mapInArrow(_summed, columns)
+    return led.select("asked", *KEYS, *MEASURES, "groups_sha256", "links").mapInArrow(given_back(_summed), columns)
 
 
 def alignment(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
