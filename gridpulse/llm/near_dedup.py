@@ -21,12 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.llm.memory import given_back
 from gridpulse.llm.texts import KEYS, owners, store_distinct, text_keys, with_texts
-from gridpulse.llm.words import LOWER, WORDS_BASE, mix, slices, windows, word_hashes, words
+from gridpulse.llm.words import LOWER, WORDS_BASE, mix, ranges, slices, windows, word_hashes, words
 from gridpulse.workspace import store
 
 SIMILARITY = 80
@@ -35,6 +36,8 @@ SKETCH_BITS = 512
 #: Bits that may differ: what 54 of the 128 samples at odds give, where the threshold makes 26 likely.
 MOST_BITS = 88
 BLOCK = 2048
+#: Pairs of rows whose sketches are compared at once.
+PAIRS = 1 << 16
 SIZES = "n_shingles long"
 
 
@@ -121,11 +124,10 @@ def components(links: DataFrame) -> DataFrame:
     Labels spread along links and jump along labels, so the rounds grow with the logarithm of a chain's length.
     """
     edges = store(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    labels = store(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label")).select("id", F.least("id", "label").alias("label")), "labels")
+    labels = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label")).select("id", F.least("id", "label").alias("label"))
     while True:
         near = edges.join(labels, edges["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("near"))
         spread = labels.join(near, F.col("id") == F.col("a")).select("id", F.least("label", "near").alias("label"), F.col("label").alias("old"))
-        spread = store(spread, "labels")
         target = spread.select(F.col("id").alias("label"), F.col("label").alias("next"))
         jumped = store(spread.join(target, "label").select("id", F.col("next").alias("label"), (F.col("next") < F.col("old")).alias("changed")), "labels")
         labels = jumped.select("id", "label")
@@ -133,6 +135,17 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def roots(links: DataFrame) -> DataFrame:
+    """(id, label): where links (a, b), one for each a and each to a smaller id, lead in the end; ids without a link of their own are left out."""
+    labels = links.select(F.col("a").alias("id"), F.col("b").alias("label"))
+    while True:
+        target = labels.toDF("label", "next")
+        jumped = store(labels.join(target, "label", "left").select("id", F.coalesce("next", "label").alias("label"), F.col("next").isNotNull().alias("changed")), "labels")
+        labels = jumped.select("id", "label")
+        if jumped.where("changed").isEmpty():
+            return labels
+
+
 class _Groups:
     """Union-find over the labels of one block."""
 
@@ -150,15 +163,65 @@ class _Groups:
         return x != y
 
 
-def _close_pairs(sketches: np.ndarray, sizes: np.ndarray, labels: np.ndarray, similarity: int) -> Iterator[tuple[int, int]]:
-    """Pairs of rows with different labels whose sketches and sizes allow a link, most similar first within a row."""
-    for i in range(len(sketches) - 1):
-        rest = slice(i + 1, None)
-        apart = np.bitwise_count(sketches[rest] ^ sketches[i]).sum(axis=1)
-        small, large = np.minimum(sizes[rest], sizes[i]), np.maximum(sizes[rest], sizes[i])
-        near = np.flatnonzero((apart <= MOST_BITS) & (labels[rest] != labels[i]) & (100 * small >= similarity * large))
-        for j in near[np.argsort(apart[near], kind="stable")]:
-            yield i, i + 1 + int(j)
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by (key, i, j), several whole groups at a time, with the end of each row's group."""
+    held: list[pa.Table] = []
+
+    def heads(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        for c in ("key", "i", "j"):
+            values = table[c].to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        return np.flatnonzero(new)
+
+    def with_ends(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+        bounds = np.r_[0, heads(table), table.num_rows]
+        return table, np.repeat(bounds[1:], np.diff(bounds))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.concat_tables([*held, pa.Table.from_batches([batch])])
+        last = heads(table)[-1:]
+        if len(last):
+            yield with_ends(table.slice(0, int(last[0])).combine_chunks())
+            table = table.slice(int(last[0]))
+        held = [table]
+    if held:
+        yield with_ends(held[0].combine_chunks())
+
+
+def _close_pairs(sketches: np.ndarray, sizes: np.ndarray, labels: np.ndarray, ends: np.ndarray, similarity: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one group with different labels whose sketches and sizes allow a link, most similar first within a row."""
+    partners = ends - np.arange(len(ends)) - 1
+    before = np.r_[0, np.cumsum(partners)]
+    row = 0
+    while row < len(ends):
+        stop = max(row + 1, int(np.searchsorted(before, before[row] + PAIRS, side="right")) - 1)
+        n = partners[row:stop]
+        a = np.repeat(np.arange(row, stop), n)
+        b = a + 1 + ranges(n)
+        fits = (labels[a] != labels[b]) & (100 * np.minimum(sizes[a], sizes[b]) >= similarity * np.maximum(sizes[a], sizes[b]))
+        a, b = a[fits], b[fits]
+        apart = np.bitwise_count(sketches[a] ^ sketches[b]).sum(axis=1, dtype=np.int64)
+        near = np.flatnonzero(apart <= MOST_BITS)
+        near = near[np.lexsort((apart[near], a[near]))]
+        yield a[near], b[near]
+        row = stop
+
+
+def _rows(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    """A column of lists of `width` numbers."""
+    return pc.list_flatten(column).to_numpy().astype(np.int64).view(np.uint64).reshape(-1, width)
+
+
+def _comparable(table: pa.Table, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    return _rows(table["sketch"], SKETCH_BITS // 64), table["n_shingles"].to_numpy(), table["label"].to_numpy(), ends
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Blocks of members one after the other."""
+    return _blocks(members).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
 def _blocks(members: DataFrame) -> DataFrame:
@@ -173,44 +236,47 @@ def _blocks(members: DataFrame) -> DataFrame:
 def _suspects(members: DataFrame, similarity: int) -> DataFrame:
     """(key, id): members that may be linked with a text of another group in their bucket, by sketches."""
 
-    def compare(table: pa.Table) -> pa.Table:
-        ids, labels, sizes = (table[c].to_numpy() for c in ("id", "label", "n_shingles"))
-        sketches = np.stack(table["sketch"].to_pylist()).astype(np.int64).view(np.uint64)
-        found = np.zeros(len(ids), bool)
-        for i, j in _close_pairs(sketches, sizes, labels, similarity):
-            found[[i, j]] = True
-        return table.select(["key", "id"]).filter(pa.array(found))
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, ends in _whole_groups(batches):
+            found = np.zeros(table.num_rows, bool)
+            for a, b in _close_pairs(*_comparable(table, ends), similarity):
+                found[a] = found[b] = True
+            yield from table.select(["key", "id"]).filter(pa.array(found)).to_batches()
 
-    pairs = _blocks(members).groupBy("key", "i", "j").applyInArrow(compare, "key long, id long")
-    return pairs.distinct()
+    return _in_blocks(members).mapInArrow(given_back(compare), "key long, id long").distinct()
 
 
 def _joining_links(members: DataFrame, similarity: int) -> DataFrame:
-    """(a, b): confirmed links between texts of different groups in a bucket, none that the others imply.
+    """(a, b): labels of groups that a confirmed link between texts of a bucket joins, none that the others imply.
 
     A pair that shares several buckets is confirmed in the first of them only.
     """
 
-    def compare(table: pa.Table) -> pa.Table:
-        ids, labels, sizes = (table[c].to_numpy() for c in ("id", "label", "n_shingles"))
-        sketches = np.stack(table["sketch"].to_pylist()).astype(np.int64).view(np.uint64)
-        sets = [np.asarray(s.values) for s in table["set"]]
-        bands, own = np.stack(table["bands"].to_pylist()), table["pos"][0].as_py()
-        groups, links = _Groups(labels), []
-        for i, j in _close_pairs(sketches, sizes, labels, similarity):
-            x, y = int(labels[i]), int(labels[j])
-            if groups.find(x) == groups.find(y) or np.argmax(bands[i] == bands[j]) != own:
-                continue
-            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * shared >= similarity * (len(sets[i]) + len(sets[j]) - shared) and groups.join(x, y):
-                links.append((int(ids[i]), int(ids[j])))
-        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
-
-    return _blocks(members).groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, ends in _whole_groups(batches):
+            labels, own, group = table["label"].to_numpy(), table["pos"].to_numpy(), -1
+            bands, sets = _rows(table["bands"], BANDS), pc.list_flatten(table["set"]).to_numpy()
+            at = np.r_[0, np.cumsum(pc.list_value_length(table["set"]).to_numpy())]
+            links: list[tuple[int, int]] = []
+            for a, b in _close_pairs(*_comparable(table, ends), similarity):
+                first = np.argmax(bands[a] == bands[b], axis=1) == own[a]
+                for i, j in zip(a[first].tolist(), b[first].tolist()):
+                    if group != ends[i]:
+                        group, groups = ends[i], _Groups(labels[i : ends[i]])
+                    x, y = int(labels[i]), int(labels[j])
+                    if groups.find(x) == groups.find(y):
+                        continue
+                    one, other = sets[at[i] : at[i + 1]], sets[at[j] : at[j + 1]]
+                    shared = len(np.intersect1d(one, other, assume_unique=True))
+                    if 100 * shared >= similarity * (len(one) + len(other) - shared) and groups.join(x, y):
+                        links.append((x, y))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], ["a", "b"])
+
+    return _in_blocks(members).mapInArrow(given_back(compare), "a long, b long")
 
 
 def linked_groups(texts: DataFrame, size: int, similarity: int) -> tuple[DataFrame, DataFrame]:
-    """(id, n_shingles) of all distinct texts, and (id, label) of those in a group of several."""
+    """(id, n_shingles) of all distinct texts, and (id, label) of those in a group of several; others, and its smallest text, may be left out."""
     signed = store(signatures(texts, size), "signatures")
     full = signed.where("n_shingles > 0")
     banded = full.select("id", F.posexplode("bands")).select(F.xxhash64("pos", "col").alias("key"), "pos", "id")
@@ -232,7 +298,7 @@ def linked_groups(texts: DataFrame, size: int, similarity: int) -> tuple[DataFra
     linked = 100 * inside >= similarity * (F.size("set") + F.size("head_set") - inside)
     links = store(both.where(linked).select(F.col("id").alias("a"), F.col("head").alias("b")), "links")
 
-    labels = components(links)
+    labels = roots(links)
     labelled = members.select("key", "pos", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
     open_ = store(labelled.join(mixed, "key").join(full.select("id", "n_shingles", "sketch", "bands"), "id"), "open_members")
@@ -240,7 +306,9 @@ def linked_groups(texts: DataFrame, size: int, similarity: int) -> tuple[DataFra
     more_sets = store(_full_sets(with_texts(texts, suspects.select("id").distinct()), size), "shingle_sets")
     more = store(_joining_links(open_.join(suspects, ["key", "id"]).join(more_sets, "id"), similarity), "links")
     if not more.isEmpty():
-        labels = components(links.unionByName(more))
+        merged = components(more)  # of labels, which have no rows in `labels`
+        kept = labels.join(merged.toDF("label", "into"), "label", "left").select("id", F.coalesce("into", "label").alias("label"))
+        labels = kept.unionByName(merged)
     return signed.select("id", "n_shingles"), labels
 
 
