@@ -1,23 +1,27 @@
 """Tokenizers inside tasks.
 
 Texts are cut at spaces into chunks that a tokenizer treats each for itself, and a task tokenizes each of its chunks once, however often it
-occurs.  Where a cut would not be safe, chunks stay together.  Tokenizer files are opened by path in every task; they must lie at the same place
-on all executors.
+occurs.  Where a cut would not be safe, chunks stay together.  Tokenizer files are opened by path, once in each Python worker that Spark keeps
+for later tasks; they must lie at the same place on all executors.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
 from collections.abc import Callable, Iterable, Iterator
+from string import ascii_lowercase, ascii_uppercase
+from types import ModuleType
+from typing import Any
 
 import numpy as np
 
-#: Distinct chunks, and characters of chunks, that a task remembers; when it has more, it starts anew.
+#: Distinct chunks, and characters of chunks, that a task remembers; when it has more, it forgets all that are not wanted next.
 REMEMBERED, REMEMBERED_CHARS = 1 << 18, 1 << 24
 
 #: Chunks that are handed to a tokenizer as one text; one text costs far less than many short ones.
-JOINED = 512
+JOINED = 1024
 
 # A space after one of these is no safe cut: some engines count it as white space, and white space belongs to what follows.
 _WHITE = r"[\s\x00-\x20\x7f-\xa0" + "\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]"
@@ -32,6 +36,18 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def kept(kind: str, path: str, make: Callable[[str], Any]) -> Any:
+    """What `make` reads from a file, read once per Python process.
+
+    Functions travel by value, so their own module is a new one in each task; what is kept must be plain data or of a library.
+    """
+    of_process = vars(sys.modules.setdefault("_gridpulse_kept", ModuleType("_gridpulse_kept")))
+    key = f"{kind} {path} {os.stat(path).st_mtime_ns}"
+    if key not in of_process:
+        of_process[key] = make(path)
+    return of_process[key]
+
+
 def tokenizer(path: str, plain_specials: bool):
     """A tokenizer of the `tokenizers` library; `plain_specials`: special tokens' strings inside texts are ordinary text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -61,6 +77,11 @@ def chunks(text: str) -> list[str]:
     return out
 
 
+def safe_ends(some: list[str]) -> bool:
+    """Whether these chunks may follow each other in any order."""
+    return "" not in some and not _UNSAFE.search(" ".join([*some, ""])) or all(map(safe_end, some))
+
+
 def safe_end(chunk: str) -> bool:
     """Whether any other chunk may follow this one."""
     return bool(chunk) and not _UNSAFE_END.match(chunk, len(chunk) - 1)
@@ -76,7 +97,8 @@ class Remembered:
         """A table that has at least the wanted chunks."""
         new = list(wanted.difference(self.known))
         if len(self.known) + len(new) > self.most or self.chars > REMEMBERED_CHARS:
-            self.known, self.chars, new = {}, 0, list(wanted)
+            self.known = {c: self.known[c] for c in wanted if c in self.known}
+            self.chars = sum(map(len, self.known))
         for k in range(0, len(new), self.at_once):
             self.known.update(self.make(new[k : k + self.at_once]))
         self.chars += sum(map(len, new))
@@ -89,13 +111,25 @@ _WORD, _STOP = re.compile(f"[{_LETTERS}]+"), re.compile(f"([.,])(?<=[{_LETTERS}0
 _WORD_END = "</w>"
 
 
+# A word and what may stand behind it, all of it one token piece of its own to such a tokenizer.
+_STOPS = "!#$%&*+,./:;=?@^_~)-"
+_ENDED = re.compile(f"([{_LETTERS}]+)([{_STOPS}]{{1,3}})")
+
+
+def _word_tokenizer(path: str) -> tuple[Any, np.ndarray, bool]:
+    """A tokenizer, which ids end a word, and whether it reads ASCII letters of either case alike and parts words from what `_ENDED` finds."""
+    made = tokenizer(path, plain_specials=False)
+    ids = lambda text: made.encode(text, add_special_tokens=False).ids
+    parts = ids(ascii_uppercase) == ids(ascii_lowercase) and all(ids(f"ab{p}") == ids("ab") + ids(p) for p in _STOPS)
+    return made, np.array([(made.id_to_token(k) or "").endswith(_WORD_END) for k in range(made.get_vocab_size())]), parts
+
+
 def ids_of_words(path: str) -> Callable[[list[str]], list[bytes]]:
     """Token ids of texts, as little-endian unsigned 32-bit numbers, by a tokenizer that drops white space and marks the ends of words.
 
     Such a tokenizer never joins a word and the stop behind it.
     """
-    made, whole = tokenizer(path, plain_specials=False), _WORD.fullmatch
-    ends_word = np.array([(made.id_to_token(k) or "").endswith(_WORD_END) for k in range(made.get_vocab_size())])
+    (made, ends_word, alike), whole, ended = kept("word ids", path, _word_tokenizer), _WORD.fullmatch, _ENDED.fullmatch
 
     def separately(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in made.encode_batch_fast(texts, add_special_tokens=False)]
@@ -108,13 +142,27 @@ def ids_of_words(path: str) -> Callable[[list[str]], list[bytes]]:
         return map(raw.__getitem__, map(slice, [0, *at], at)) if len(ends) == len(words) else separately(words)
 
     def encode(some: list[str]) -> Iterator[tuple[str, bytes]]:
-        words, others = [], []
+        words, others, made_of = [], [], []
         for c in some:
-            (words if whole(c) else others).append(c)
-        yield from zip(words, jointly(words))
+            if whole(c):
+                words.append(c)
+            elif alike and (parts := ended(c)):
+                made_of.append((c, *parts.groups()))
+            else:
+                others.append(c)
+        plain = {w: w.lower() if alike and w.isascii() else w for w in (*words, *(word for _, word, _ in made_of))}
+        tails = list({tail for _, _, tail in made_of}.difference(of_tail))
+        of_tail.update(zip(tails, separately(tails)))
+        new = list(set(plain.values()).difference(remembered.known))
+        found = dict(zip(new, jointly(new))) if new else {}
+        of = {w: found[p] if p in found else remembered.known[p] for w, p in plain.items()}
+        yield from found.items()
+        yield from ((w, of[w]) for w in words)
+        yield from ((c, of[word] + of_tail[tail]) for c, word, tail in made_of)
         if others:
             yield from zip(others, separately(others))
 
+    of_tail: dict[str, bytes] = {}
     remembered = Remembered(encode, JOINED, 2 * REMEMBERED)  # ids take little room
 
     def ids(texts: list[str]) -> list[bytes]:
