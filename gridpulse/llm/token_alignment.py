@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.llm.memory import given_back
 from gridpulse.llm.texts import KEYS, text_keys
-from gridpulse.llm.tokens import JOINED, Remembered, chunks, public_path, safe_end, tokenizer
+from gridpulse.llm.tokens import JOINED, Remembered, chunks, kept, public_path, safe_ends, tokenizer
 from gridpulse.workspace import store
 
 #: Bytes of texts (in characters) whose pairs are counted together.
@@ -36,6 +37,9 @@ BLOCK_BYTES = 1 << 22
 #: A text of more than 1 / HOT_SHARE of the documents is joined by broadcast.
 HOT_SHARE = 1000
 
+#: Chunks that cannot be read as one text are halved until they are so few, and then read one by one.
+ALONE = 32
+
 #: A pair of ids (a, b) is the number a * PAIR + b.
 PAIR = 1 << 20
 
@@ -60,22 +64,33 @@ class Vocabulary:
     encode: Callable[[list[str]], list[list[int]]]
     bytes: list[bytes]
 
+    def joined(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, ids))
 
-def byte_level(path: str) -> Vocabulary:
-    """A byte-level tokenizer of the `tokenizers` library."""
+
+def _byte_level_file(path: str) -> tuple[Any, list[bytes]]:
     made, of = tokenizer(path, plain_specials=True), _byte_level()
     entries = [made.id_to_token(k) or "" for k in range(made.get_vocab_size())]
-    raw = [bytes(of[c] for c in e) if all(c in of for c in e) else e.encode() for e in entries]
+    return made, [bytes(of[c] for c in e) if all(c in of for c in e) else e.encode() for e in entries]
+
+
+def byte_level(path: str) -> Vocabulary:
+    """A byte-level tokenizer of the `tokenizers` library."""
+    made, raw = kept("byte level", path, _byte_level_file)
     return Vocabulary(lambda texts: [e.ids for e in made.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], raw)
 
 
-def pieces(path: str) -> Vocabulary:
-    """A sentencepiece model, which puts the space in front itself."""
+def _pieces_file(path: str) -> tuple[Any, list[bytes]]:
     from sentencepiece import SentencePieceProcessor
 
     made = SentencePieceProcessor(model_file=path)
     n = made.get_piece_size()
-    raw = [bytes([int(made.id_to_piece(k)[3:5], 16)]) if made.is_byte(k) else made.id_to_piece(k).replace("▁", " ").encode() for k in range(n)]
+    return made, [bytes([int(made.id_to_piece(k)[3:5], 16)]) if made.is_byte(k) else made.id_to_piece(k).replace("▁", " ").encode() for k in range(n)]
+
+
+def pieces(path: str) -> Vocabulary:
+    """A sentencepiece model, which puts the space in front itself."""
+    made, raw = kept("pieces", path, _pieces_file)
     return Vocabulary(lambda texts: made.encode(texts, num_threads=1), raw)
 
 
@@ -85,9 +100,8 @@ class _Digits:
     def __init__(self, n: int) -> None:
         width = len(str(n))
         self.table = np.zeros((n, width + 1), np.uint8)
-        for k in range(n):
-            number = str(k).encode()
-            self.table[k, : len(number)] = np.frombuffer(number, np.uint8)
+        numbers = np.arange(n).astype(f"S{width}")
+        self.table[:, :width] = numbers.view(np.uint8).reshape(n, width)
 
     def written(self, ids: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All bytes in a row, and how many each number takes."""
@@ -129,23 +143,24 @@ class Aligner:
         """Ids of one text by both tokenizers, if both give it back."""
         ids = [v.encode(texts)[0] for v in (self.a, self.b)]
         want = (" " + texts[0]).encode()
-        return ids if all(b"".join([v.bytes[t] for t in own]) == want for v, own in zip((self.a, self.b), ids)) else None
+        return ids if all(v.joined(own) == want for v, own in zip((self.a, self.b), ids)) else None
 
     def _aligned(self, new: list[str]) -> list[_Chunk]:
         """All new chunks laid end to end and aligned at once: both tokenizers end a token at every chunk's end."""
         out: list[_Chunk] = [None] * len(new)
-        joint = self._tokens([" ".join(new)]) if all(map(safe_end, new)) else None
+        joint = self._tokens([" ".join(new)]) if safe_ends(new) else None
         if joint is not None:
-            kept, flat = list(range(len(new))), [np.array(x) for x in joint]
+            some, flat = list(range(len(new))), [np.array(x) for x in joint]
+        elif len(new) > ALONE:  # what keeps them apart may be one chunk
+            return self._aligned(new[: len(new) // 2]) + self._aligned(new[len(new) // 2 :])
         else:
             each = [self._tokens([c]) for c in new]
-            kept = [k for k, ids in enumerate(each) if ids is not None]
-            if not kept:
+            some = [k for k, ids in enumerate(each) if ids is not None]
+            if not some:
                 return out
-            flat = [np.concatenate([each[k][side] for k in kept]) for side in (0, 1)]
-        whole = {k: (" " + new[k]).encode() for k in kept}
+            flat = [np.concatenate([each[k][side] for k in some]) for side in (0, 1)]
         ends_a, ends_b = (np.cumsum(n[f]) for n, f in zip(self.lengths, flat))
-        bounds = np.cumsum([len(whole[k]) for k in kept])
+        bounds = np.cumsum([1 + (len(c) if c.isascii() else len(c.encode())) for c in map(new.__getitem__, some)])
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
         cuts = np.union1d(ends_a, ends_b)
         pairs = flat[0][np.searchsorted(ends_a, cuts)] * PAIR + flat[1][np.searchsorted(ends_b, cuts)]
@@ -154,7 +169,7 @@ class Aligner:
         text_end = at[last_a + last_b - 1].tolist()  # a chunk's tokens of both kinds come together
         tokens_a, raw, links = np.diff(last_a, prepend=0).tolist(), text.tobytes(), pairs.astype(np.int64).tobytes()
         first = text_first = 0
-        for chunk, n_a, cut, end in zip(kept, tokens_a, last_cut.tolist(), text_end):
+        for chunk, n_a, cut, end in zip(some, tokens_a, last_cut.tolist(), text_end):
             out[chunk] = (n_a, links[8 * first : 8 * cut], raw[text_first:end])
             first, text_first = cut, end
         return out
