@@ -252,27 +252,25 @@ def _joining_links(members: DataFrame, similarity: int) -> DataFrame:
     A pair that shares several buckets is confirmed in the first of them only.
     """
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, ends in _whole_groups(batches):
-            labels, own, group = table["label"].to_numpy(), table["pos"].to_numpy(), -1
-            bands, sets = _rows(table["bands"], BANDS), pc.list_flatten(table["set"]).to_numpy()
-            at = np.r_[0, np.cumsum(pc.list_value_length(table["set"]).to_numpy())]
-            links: list[tuple[int, int]] = []
-            for a, b in _close_pairs(*_comparable(table, ends), similarity):
-                first = np.argmax(bands[a] == bands[b], axis=1) == own[a]
-                for i, j in zip(a[first].tolist(), b[first].tolist()):
-                    if group != ends[i]:
-                        group, groups = ends[i], _Groups(labels[i : ends[i]])
-                    x, y = int(labels[i]), int(labels[j])
-                    if groups.find(x) == groups.find(y):
-                        continue
-                    one, other = sets[at[i] : at[i + 1]], sets[at[j] : at[j + 1]]
-                    shared = len(np.intersect1d(one, other, assume_unique=True))
-                    if 100 * shared >= similarity * (len(one) + len(other) - shared) and groups.join(x, y):
-                        links.append((x, y))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], ["a", "b"])
-
-    return _in_blocks(members).mapInArrow(given_back(compare), "a long, b long")
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        labels, own = table["label"].to_numpy(), table["pos"][0].as_py()
+        bands, sets = _rows(table["bands"], BANDS), pc.list_flatten(table["set"]).to_numpy()
+        at = np.r_[0, np.cumsum(pc.list_value_length(table["set"]).to_numpy())]
+        groups, links = _Groups(labels), []
+        for a, b in _close_pairs(*_comparable(table, np.full(len(labels), len(labels))), similarity):
+            first = np.argmax(bands[a] == bands[b], axis=1) == own
+            for i, j in zip(a[first].tolist(), b[first].tolist()):
+                x, y = int(labels[i]), int(labels[j])
+                if groups.find(x) == groups.find(y):
+                    continue
+                one, other = sets[at[i] : at[i + 1]], sets[at[j] : at[j + 1]]
+                shared = len(np.intersect1d(one, other, assume_unique=True))
+                if 100 * shared >= similarity * (len(one) + len(other) - shared) and groups.join(x, y):
+                    links.append((x, y))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return _blocks(members).groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")  # sets lie by key already: no exchange of their own
 
 
 def linked_groups(texts: DataFrame, size: int, similarity: int) -> tuple[DataFrame, DataFrame]:
